@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from hiatus.functions import duration_columns, gap_to_micros, session_id, slice_start, whole_seconds
@@ -24,15 +24,18 @@ from hiatus.schema import SESSION_COLUMNS
 
 DEFAULT_GAP_MINUTES = 20
 
-# A slice with more events than this is split further before its rows are sorted.
-HOT_SLICE_ROWS = 5_000_000
-# By the pigeonhole principle at most this many slices can hold more than
-# total / MAX_HOT_SLICES rows, which bounds the broadcast list of hot slices.
-MAX_HOT_SLICES = 100_000
-CELLS_PER_SLICE = 4_096
+# Rows are numbered in blocks of this many slices.
+SLICES_PER_BLOCK = 512
+# A block with more events than this is cut into cells, this many per slice.
+HOT_BLOCK_ROWS = 5_000_000
+CELLS_PER_SLICE = 32
+# By the pigeonhole principle at most this many blocks can hold more than
+# total / MAX_HOT_BLOCKS rows, which bounds the broadcast list of hot blocks.
+MAX_HOT_BLOCKS = 100_000
 
-# What a slice knows about its first event.
-_OPENING = ("previous_event", "opens_session", "session_number")
+# What precedes a block, and what is found for each row.
+_BEFORE = ("previous_event", "sessions_before")
+_FOUND = ("is_new_session", "previous_started_at", "session_number")
 
 
 def session_slices(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES) -> DataFrame:
@@ -48,16 +51,10 @@ def session_slices(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES)
         )
     )
     in_time = Window.partitionBy("user_id").orderBy("slice_start")
-    pause = F.unix_micros("first_event") - F.unix_micros("previous_event")
     return (
         slices.withColumn("previous_event", F.lag("last_event").over(in_time))
-        .withColumn("opens_session", _flag(F.col("previous_event").isNull() | (pause > gap)))
-        .withColumn(
-            "session_number",
-            F.sum("opens_session").over(
-                in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        )
+        .withColumn("opens_session", _opens(F.col("first_event"), gap))
+        .withColumn("session_number", F.sum("opens_session").over(_up_to_here(in_time)))
     )
 
 
@@ -91,7 +88,7 @@ def sessionize(
     gap_minutes: float = DEFAULT_GAP_MINUTES,
     tie_break: Sequence[str] = (),
     *,
-    hot_slice_rows: int = HOT_SLICE_ROWS,
+    hot_block_rows: int = HOT_BLOCK_ROWS,
 ) -> DataFrame:
     """Event rows with pause, session flag, previous event time, session number and id.
 
@@ -99,114 +96,135 @@ def sessionize(
     it the row flagged as first among such events is arbitrary, as is the order
     of exact copies. Session numbers and ids never depend on it.
 
-    Ordinary slices take one shuffle: each slice row joins its events as a
-    marker sorted first, so one window over (user, slice) sees the previous
-    event's time and the session number. Slices above the hot threshold take
-    :func:`_sessionize_hot`; when there are none, AQE drops that branch.
+    Rows are shuffled once, by user and time block. The slice table tells each
+    block its previous event and how many sessions came before, so blocks of a
+    user are numbered independently. Blocks above the hot threshold take
+    :func:`_number_hot_rows`; when there are none, AQE drops that branch.
     """
     gap = gap_to_micros(gap_minutes)
-    rows = events.filter(F.col("started_at").isNotNull()).withColumn("slice_start", _slice_of(gap))
-    slices = session_slices(events, gap_minutes)
-
-    share = slices.select(F.sum("track_count") / F.lit(MAX_HOT_SLICES)).scalar()
-    is_hot = F.col("track_count") > F.greatest(F.lit(hot_slice_rows).cast("double"), share)
-    hot_slices = F.broadcast(slices.filter(is_hot).select("user_id", "slice_start", *_OPENING))
-
-    cold_rows = rows.alias("rows").join(hot_slices.alias("hot"), _same_slice(), "left_anti")
-    cold = _number_rows(cold_rows, slices.filter(~is_hot), "slice_start", tie_break)
-    hot_rows = (
+    block = slice_start(F.col("started_at"), max(gap, 1) * SLICES_PER_BLOCK)
+    rows = events.filter(F.col("started_at").isNotNull()).withColumn("block", block)
+    blocks = _blocks(session_slices(events, gap_minutes), gap)
+
+    share = events.select(F.count(F.lit(1)) / F.lit(MAX_HOT_BLOCKS)).scalar()
+    is_hot = F.col("track_count") > F.greatest(F.lit(hot_block_rows).cast("double"), share)
+    hot_blocks = F.broadcast(blocks.filter(is_hot).drop("track_count"))
+    tagged = (
         rows.alias("rows")
-        .join(hot_slices.alias("hot"), _same_slice())
-        .select("rows.*", *[F.col(f"hot.{name}") for name in _OPENING])
+        .join(hot_blocks.alias("hot"), _same_block(), "left")
+        .select("rows.*", *[F.col(f"hot.{name}") for name in _BEFORE])
     )
-    numbered = cold.unionByName(_sessionize_hot(hot_rows, gap, tie_break))
-
-    return numbered.select(
-        *events.columns,
-        (whole_seconds(F.col("started_at")) - whole_seconds(F.col("previous_started_at"))).alias(
-            "gap_seconds"
-        ),
-        "is_new_session",
-        "previous_started_at",
-        "session_number",
-        session_id(F.col("user_id"), F.col("session_number")).alias("session_id"),
+    # An outer join with a null test, not an anti join: it reads the same slice
+    # shuffle as the other branches, where an anti join would prune its columns.
+    in_hot_block = F.col("sessions_before").isNotNull()
+    cold_rows = tagged.filter(~in_hot_block).drop(*_BEFORE)
+    cold = _number_rows(cold_rows, blocks.filter(~is_hot), "block", gap, tie_break)
+    hot_rows = tagged.filter(in_hot_block)
+    hot = _number_hot_rows(hot_rows, gap, tie_break)
+
+    kept = [*events.columns, *_FOUND]
+    return (
+        cold.select(*kept)
+        .unionByName(hot.select(*kept))
+        .select(
+            *events.columns,
+            _pause_seconds().alias("gap_seconds"),
+            *_FOUND,
+            session_id(F.col("user_id"), F.col("session_number")).alias("session_id"),
+        )
+    )
+
+
+def _blocks(slices: DataFrame, gap: int) -> DataFrame:
+    """What precedes each (user, block): the last event and the number of sessions."""
+    start = F.col("slice_start")
+    block = start - F.pmod(start, F.lit(max(gap, 1) * SLICES_PER_BLOCK).cast("long"))
+    already_open = F.col("session_number") - F.col("opens_session")
+    return slices.groupBy("user_id", block.alias("block")).agg(
+        F.sum("track_count").alias("track_count"),
+        F.min_by("previous_event", "slice_start").alias("previous_event"),
+        F.min(already_open).alias("sessions_before"),
     )
 
 
-def _sessionize_hot(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> DataFrame:
-    """Number the rows of hot slices without sorting a whole slice in one task.
+def _number_hot_rows(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> DataFrame:
+    """Number the rows of hot blocks without sorting a whole block in one task.
 
-    ``rows`` carry their slice's :data:`_OPENING` columns. They are first
-    ranked per (user, instant, input split): all but the first of such a group
-    have their own time as previous time and need no further sorting. The
-    remaining leaders, one per group, are numbered like ordinary rows, in cells
-    that cut each slice into ``CELLS_PER_SLICE`` parts.
+    ``rows`` carry what precedes their block. They are first ranked per (user,
+    instant, input split): all but the first of such a group have their own
+    time as previous time and need no further sorting. The remaining leaders,
+    one per group, are numbered like ordinary rows, in cells shorter than a
+    slice, and followers take their leader's session.
     """
+    cell = slice_start(F.col("started_at"), max(gap // CELLS_PER_SLICE, 1))
     at_instant = Window.partitionBy("user_id", "started_at", "input_split").orderBy(
         *(tie_break or ["started_at"])
     )
-    cell_width = max(gap // CELLS_PER_SLICE, 1)
     ranked = rows.select(
-        "*",
-        slice_start(F.col("started_at"), cell_width).alias("cell_start"),
-        F.spark_partition_id().alias("input_split"),
+        "*", cell.alias("cell"), F.spark_partition_id().alias("input_split")
     ).withColumn("place", F.row_number().over(at_instant))
     leaders = ranked.filter(F.col("place") == 1)
-    followers = ranked.filter(F.col("place") > 1).withColumns(
-        {"previous_started_at": F.col("started_at"), "is_new_session": F.lit(0)}
-    )
+    followers = ranked.filter(F.col("place") > 1)
 
-    in_slice = Window.partitionBy("user_id", "slice_start").orderBy("cell_start")
-    before = F.lag("cell_last").over(in_slice)
+    in_block = Window.partitionBy("user_id", "block").orderBy("cell")
     cells = (
-        leaders.groupBy("user_id", "slice_start", "cell_start", *_OPENING)
-        .agg(F.max("started_at").alias("cell_last"))
+        leaders.groupBy("user_id", "block", "cell", *_BEFORE)
+        .agg(F.min("started_at").alias("first_event"), F.max("started_at").alias("last_event"))
+        .withColumn(
+            "previous_event", F.coalesce(F.lag("last_event").over(in_block), "previous_event")
+        )
+        .withColumn("opens_session", _opens(F.col("first_event"), gap))
+        .withColumn("opened", F.sum("opens_session").over(_up_to_here(in_block)))
         .select(
             "user_id",
-            "cell_start",
-            F.coalesce(before, "previous_event").alias("previous_event"),
-            F.when(before.isNull(), F.col("opens_session")).otherwise(0).alias("opens_session"),
-            "session_number",
+            "cell",
+            "previous_event",
+            (F.col("sessions_before") + F.col("opened") - F.col("opens_session")).alias(
+                "sessions_before"
+            ),
         )
     )
-    led = _number_rows(leaders.drop(*_OPENING, "slice_start"), cells, "cell_start", tie_break)
-    kept = [name for name in rows.columns if name not in (*_OPENING, "slice_start")]
-    found = ["previous_started_at", "is_new_session", "session_number"]
-    return led.select(*kept, *found).unionByName(followers.select(*kept, *found))
+    led = _number_rows(leaders.drop(*_BEFORE), cells, "cell", gap, tie_break)
+    following = followers.withColumns(
+        {
+            "previous_started_at": F.col("started_at"),
+            "is_new_session": F.lit(0),
+            "session_number": F.lit(None).cast("long"),
+        }
+    )
+    with_leader = Window.partitionBy("user_id", "started_at", "input_split")
+    both = led.unionByName(following.select(*led.columns))
+    return both.withColumn("session_number", F.max("session_number").over(with_leader))
 
 
 def _number_rows(
-    rows: DataFrame, intervals: DataFrame, interval: str, tie_break: Sequence[str]
+    rows: DataFrame, intervals: DataFrame, interval: str, gap: int, tie_break: Sequence[str]
 ) -> DataFrame:
-    """Lag and session number for rows, interval by interval.
+    """Previous event, session flag and session number for rows, interval by interval.
 
-    ``intervals`` has one row per (user, interval) with the last event before
-    it, whether its first event opens a session, and the session number. That
-    row is sorted ahead of the interval's events and removed afterwards.
+    ``intervals`` has one row per (user, interval) with what precedes it. That
+    row is sorted ahead of the interval's events as a marker, so one sort
+    serves the lag and the running count, and null users match as well.
     """
     markers = intervals.select(
         "user_id",
         interval,
         F.lit(0).alias("_rank"),
         F.col("previous_event").alias("_clock"),
-        F.col("opens_session").alias("_opens"),
-        F.col("session_number").alias("_number"),
+        F.col("sessions_before").alias("_sessions"),
     )
     marked = rows.withColumns(
-        {"_rank": F.lit(1), "_clock": F.col("started_at"), "_opens": F.lit(0)}
+        {"_rank": F.lit(1), "_clock": F.col("started_at"), "_sessions": F.lit(None).cast("long")}
     ).unionByName(markers, allowMissingColumns=True)
     ordered = Window.partitionBy("user_id", interval).orderBy("_rank", "started_at", *tie_break)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opened = F.when(F.col("_rank") == 0, F.col("_sessions")).otherwise(F.col("is_new_session"))
     return (
-        marked.withColumns(
-            {
-                "previous_started_at": F.lag("_clock").over(ordered),
-                "is_new_session": F.lag("_opens").over(ordered),
-                "session_number": F.max("_number").over(so_far),
-            }
-        )
+        marked.withColumn("previous_event", F.lag("_clock").over(ordered))
+        .withColumn("is_new_session", _opens(F.col("started_at"), gap))
+        .withColumn("session_number", F.sum(opened).over(_up_to_here(ordered)))
         .filter(F.col("_rank") == 1)
-        .drop("_rank", "_clock", "_opens", "_number", interval)
+        .withColumnRenamed("previous_event", "previous_started_at")
+        .drop("_rank", "_clock", "_sessions")
     )
 
 
@@ -214,13 +232,24 @@ def _slice_of(gap: int) -> Column:
     return slice_start(F.col("started_at"), max(gap, 1))
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+def _opens(event: Column, gap: int) -> Column:
+    """1 if ``event`` is more than a gap after ``previous_event``, or has none before it."""
+    previous = F.col("previous_event")
+    pause = F.unix_micros(event) - F.unix_micros(previous)
+    return F.when(previous.isNull() | (pause > gap), F.lit(1)).otherwise(F.lit(0))
+
+
+def _up_to_here(ordered: WindowSpec) -> WindowSpec:
+    return ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _pause_seconds() -> Column:
+    return whole_seconds(F.col("started_at")) - whole_seconds(F.col("previous_started_at"))
 
 
-def _same_slice() -> Column:
+def _same_block() -> Column:
     return F.col("rows.user_id").eqNullSafe(F.col("hot.user_id")) & (
-        F.col("rows.slice_start") == F.col("hot.slice_start")
+        F.col("rows.block") == F.col("hot.block")
     )
 
 

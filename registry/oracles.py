@@ -301,8 +301,9 @@ def fit(name: str, rows: str) -> str:
     """Least squares in plain SQL: orthogonalise the columns one after another.
 
     The rolling mean is left out of the system (it is the mean of the lags) and
-    brought back by the step to the minimum-norm solution. Needs at least seven
-    linearly independent months per user.
+    brought back by the step to the minimum-norm solution. An all-zero column
+    gets coefficient 0; otherwise the columns must be linearly independent,
+    which takes at least seven months per user.
     """
     count = 1 + len(FEATURES)
     start = ", ".join(
@@ -313,7 +314,7 @@ def fit(name: str, rows: str) -> str:
     ]
     for k in range(count):
         by_user = "OVER (PARTITION BY user_id)"
-        slope = "sum(x{k} * {v}) {w} / sum(x{k} * x{k}) {w}"
+        slope = "coalesce(sum(x{k} * {v}) {w} / nullif(sum(x{k} * x{k}) {w}, 0), 0)"
         later = [f"x{j}" for j in range(k + 1, count)] + ["y"]
         slopes = ", ".join(
             f"{slope.format(k=k, v=v, w=by_user)} AS s{k}_{v}" for v in later
