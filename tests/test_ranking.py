@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from hiatus.operators import ranking
+from hiatus.operators.sessions import sessionize, summarize_events
+from hiatus.plans.sessions import top_songs_in_top_sessions
+
+DAY = "2024-03-01 "
+
+
+@pytest.fixture(scope="module")
+def listening(events):
+    return events(
+        ("u", DAY + "10:00:00", "A", "x", "1"),
+        ("u", DAY + "10:05:00", "A", "x", "2"),
+        ("u", DAY + "10:10:00", None, "y", None),
+        ("u", DAY + "12:00:00", "A", "x", "1"),
+        ("v", DAY + "10:00:00", "B", "z", None),
+        ("v", DAY + "10:02:00", "B", "z", None),
+        ("w", DAY + "09:00:00", "A", "x", "1"),
+        ("w", DAY + "09:01:00", None, "y", None),
+    )
+
+
+def test_sessions_are_ranked_by_tracks_then_start_then_user(listening):
+    top = ranking.top_sessions(summarize_events(listening), 3).collect()
+    assert [(r.user_id, r.track_count) for r in top] == [("u", 3), ("w", 2), ("v", 2)]
+
+
+def test_rank_positions(listening):
+    ranked = ranking.ranked_sessions(summarize_events(listening), 3).orderBy("rank").collect()
+    assert [(r["rank"], r.user_id) for r in ranked] == [(1, "u"), (2, "w"), (3, "v")]
+
+
+def song_rows(frame):
+    return [
+        (r.artist_name, r.track_name, r.play_count, r.session_count, r.distinct_track_ids)
+        for r in frame.collect()
+    ]
+
+
+def test_songs_null_artist_and_null_ids(listening):
+    songs = top_songs_in_top_sessions(listening, summarize_events(listening), 3)
+    assert song_rows(songs) == [
+        ("A", "x", 3, 2, 2),
+        (None, "y", 2, 2, 0),
+        ("B", "z", 2, 1, 0),
+    ]
+
+
+@pytest.mark.parametrize("session_count", [1, 2, 4, 5_000])
+def test_all_join_strategies_agree(listening, session_count):
+    """By id and by interval, broadcast and (above the limit) spread over time slices."""
+    sessions = summarize_events(listening)
+    rows = sessionize(listening, tie_break=["event_id"])
+    by_interval = top_songs_in_top_sessions(listening, sessions, session_count)
+    by_id = top_songs_in_top_sessions(rows, sessions, session_count)
+    from_rows = top_songs_in_top_sessions(rows, None, session_count)
+    assert song_rows(by_interval) == song_rows(by_id) == song_rows(from_rows)
+
+
+def test_long_session_spans_many_join_slices(events):
+    frame = events(*[("u", f"2024-03-01 {h:02d}:{m:02d}:00", "A", "x", "1")
+                     for h in range(5) for m in (0, 15, 30, 45)])
+    sessions = summarize_events(frame)
+    assert sessions.count() == 1
+    assert song_rows(top_songs_in_top_sessions(frame, sessions, 2_000)) == [("A", "x", 20, 1, 1)]
+
+
+def test_interval_join_broadcasts_only_short_lists(listening):
+    sessions = summarize_events(listening)
+
+    def plan(count):
+        plays = ranking.plays_by_interval(listening, ranking.top_sessions(sessions, count), count)
+        return plays._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "strategy=broadcast" in plan(50)
+    assert "strategy=broadcast" not in plan(ranking.BROADCAST_SESSIONS + 1)
+
+
+def test_events_without_session_id_need_sessions(listening):
+    with pytest.raises(ValueError):
+        top_songs_in_top_sessions(listening)
+
+
+def test_top_users_and_empty_input(listening):
+    sessions = summarize_events(listening)
+    top = ranking.top_users(sessions, 2).collect()
+    assert [(r.user_id, r.session_count) for r in top] == [("u", 2), ("v", 1)]
+    assert ranking.top_user(sessions.limit(0)).count() == 0
+    assert ranking.most_active_user(listening).first().user_id == "u"
+
+
+def test_first_events_of_a_literal_user(listening):
+    first = ranking.first_events(listening, "u", 2, ["event_id"]).collect()
+    assert [r.event_id for r in first] == [0, 1]
+    by_frame = ranking.first_events(listening, ranking.most_active_user(listening), 2)
+    assert [r.event_id for r in by_frame.collect()] == [0, 1]
+
+
+def test_literal_user_is_pushed_to_the_scan(spark):
+    from conftest import TEST_TABLES
+    from registry.fixtures import plays
+
+    plan = ranking.events_of(plays(spark, TEST_TABLES), 7)._jdf.queryExecution().toString()
+    assert "EqualTo(user_id,7)" in plan.split("PushedFilters")[1]
+
+
+def test_sessions_of_one_user_push_the_filter_below_the_window(spark):
+    from conftest import TEST_TABLES
+    from registry.fixtures import plays
+
+    sessions = summarize_events(plays(spark, TEST_TABLES), 360).filter(F.col("user_id") == 7)
+    assert "EqualTo(user_id,7)" in sessions._jdf.queryExecution().toString()

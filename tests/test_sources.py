@@ -1,0 +1,190 @@
+from __future__ import annotations
+
+import csv
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from hiatus.operators.sessions import summarize_events
+from hiatus.plans.sessions import materialize, prepare
+from hiatus.schema import EVENT_COLUMNS
+from hiatus.sources import (
+    load_events,
+    normalize_events,
+    read_raw_tsv,
+    read_staged,
+    read_tsv,
+    stage_events,
+    staged_exists,
+    suggest_partitions,
+    write_tsv,
+)
+
+GOOD = "2009-05-04T23:08:57Z"
+
+
+def tsv(folder, *lines):
+    path = folder / "events.tsv"
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    return str(path)
+
+
+def line(*fields):
+    return "\t".join(fields)
+
+
+@pytest.fixture()
+def awkward(tmp_path):
+    return tsv(
+        tmp_path,
+        line("u1", GOOD, "", "Artist", "", "empty ids"),
+        line("u2", GOOD, '""', "Artist", "t2", "quoted empty"),
+        line("u3", GOOD, "a3", 'The "Inner" Quotes', "t3", "inner quote"),
+        line("u4", GOOD, "a4", '"Never closed', "t4", "swallowed"),
+        line("u5", GOOD, "a5"),
+        line("u6", "4 May 2009", "a6", "Artist", "t6", "bad time"),
+        line("u7", "2009-5-4T23:08:57Z", "a7", "Artist", "t7", "one-digit fields"),
+    )
+
+
+def test_awkward_lines(spark, awkward):
+    kept = {r.user_id: r for r in read_tsv(spark, awkward).collect()}
+    assert set(kept) == {"u1", "u2", "u3"}
+    assert kept["u1"].artist_id is None and kept["u1"].track_id is None
+    assert kept["u1"].song_id == "empty ids"
+    assert kept["u2"].artist_id is None and kept["u2"].song_id == "t2"
+    assert kept["u3"].artist_name == 'The "Inner" Quotes'
+
+
+def test_quotes_as_ordinary_text(spark, awkward):
+    kept = {r.user_id: r for r in read_tsv(spark, awkward, quote="").collect()}
+    assert kept["u4"].artist_name == '"Never closed'
+    assert kept["u4"].track_name == "swallowed"
+
+
+def test_raw_scan_keeps_every_line(spark, awkward):
+    assert read_raw_tsv(spark, awkward).count() == 7
+
+
+def test_normalized_layout_and_utc(spark, awkward):
+    events = read_tsv(spark, awkward)
+    assert events.columns == list(EVENT_COLUMNS)
+    shown = events.select(F.col("started_at").cast("string")).first()[0]
+    assert shown == "2009-05-04 23:08:57"
+
+
+def many_lines(folder):
+    return tsv(
+        folder,
+        *[
+            line(f"u{n % 3}", f"2009-05-04T{n % 24:02d}:{n % 60:02d}:00Z", "a", "A", "t", f"s{n}")
+            for n in range(200)
+        ],
+    )
+
+
+def test_staging_round_trip_is_sorted_and_snappy(spark, tmp_path):
+    events = read_tsv(spark, many_lines(tmp_path))
+    path = stage_events(events, str(tmp_path / "staged"), partitions=4)
+    files = glob.glob(f"{path}/*.snappy.parquet")
+    assert files
+    back = read_staged(spark, path)
+    assert back.exceptAll(events).count() == 0 and events.exceptAll(back).count() == 0
+    for file in files:
+        rows = [(r.user_id, r.started_at) for r in spark.read.parquet(file).collect()]
+        assert rows == sorted(rows)
+
+
+def test_staging_is_skipped_unless_overwritten(spark, tmp_path):
+    events = read_tsv(spark, many_lines(tmp_path))
+    path = str(tmp_path / "staged")
+    assert not staged_exists(spark, path)
+    stage_events(events, path)
+    stage_events(events.limit(1), path)
+    assert read_staged(spark, path).count() == 200
+    stage_events(events.limit(1), path, overwrite=True)
+    assert read_staged(spark, path).count() == 1
+
+
+def test_half_written_copy_does_not_count(spark, tmp_path):
+    folder = tmp_path / "staged"
+    folder.mkdir()
+    (folder / "part-0.parquet").write_bytes(b"")
+    assert not staged_exists(spark, str(folder))
+
+
+def test_skewed_user_is_spread_over_files(spark, tmp_path):
+    """One user has every row; staging still writes many files of it."""
+    events = normalize_events(
+        spark.range(200_000, numPartitions=16).select(
+            F.lit("u").alias("user_id"),
+            F.lit(GOOD).alias("started_at_raw"),
+            F.sha2(F.col("id").cast("string"), 256).alias("artist_id"),
+            F.lit("A").alias("artist_name"),
+            F.sha2((-F.col("id")).cast("string"), 256).alias("track_id"),
+            F.col("id").cast("string").alias("track_name"),
+        )
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2MB")
+    try:
+        path = stage_events(events, str(tmp_path / "staged"), partitions=4)
+    finally:
+        spark.conf.set(key, before)
+    assert len(glob.glob(f"{path}/*.parquet")) > 4
+    assert read_staged(spark, path).count() == 200_000
+
+
+def test_load_dispatch(spark, tmp_path):
+    source = many_lines(tmp_path)
+    staged = str(tmp_path / "staged")
+    assert load_events(spark, source).count() == 200
+    assert not staged_exists(spark, staged)
+    assert load_events(spark, source, staged).count() == 200
+    assert staged_exists(spark, staged)
+    tsv(tmp_path, line("u", GOOD, "a", "A", "t", "only"))
+    assert load_events(spark, source, staged).count() == 200
+    assert load_events(spark, source, staged, refresh=True).count() == 1
+
+
+def test_prepare_materialises_sessions(spark, tmp_path):
+    frames = prepare(spark, many_lines(tmp_path), str(tmp_path / "staged"), with_rows=True)
+    assert frames.sessions.storageLevel.useDisk and not frames.sessions.storageLevel.useMemory
+    assert frames.sessions.agg(F.sum("track_count")).first()[0] == frames.events.count()
+    assert frames.sessionized.count() == frames.events.count()
+    frames.sessions.unpersist()
+
+
+def test_materialize_returns_the_same_rows(spark, tmp_path):
+    sessions = summarize_events(read_tsv(spark, many_lines(tmp_path)))
+    kept = materialize(sessions)
+    assert kept.count() == sessions.count()
+    kept.unpersist()
+
+
+@pytest.mark.parametrize(
+    "options, expected",
+    [
+        ({}, 64),
+        ({"min_partitions": 1}, 32),
+        ({"multiplier": 100}, 512),
+        ({"multiplier": 1, "min_partitions": 4, "max_partitions": 6}, 6),
+        ({"min_partitions": 600}, 600),
+    ],
+)
+def test_partition_rule(spark, options, expected):
+    assert spark.sparkContext.defaultParallelism == 8
+    assert suggest_partitions(spark, **options) == expected
+
+
+def test_tsv_export_layout(spark, events, tmp_path):
+    frame = events(("u", "2024-03-01 10:00:00", "A", "x", None))
+    path = write_tsv(
+        frame.select("user_id", "started_at", "track_id"), str(tmp_path / "out"), single_file=True
+    )
+    [file] = glob.glob(f"{path}/*.csv")
+    with open(file, encoding="utf-8") as lines:
+        rows = list(csv.reader(lines, delimiter="\t"))
+    assert rows == [["user_id", "started_at", "track_id"], ["u", "2024-03-01 10:00:00", ""]]
