@@ -33,8 +33,6 @@ CELLS_PER_SLICE = 32
 # total / MAX_HOT_BLOCKS rows, which bounds the broadcast list of hot blocks.
 MAX_HOT_BLOCKS = 100_000
 
-# What precedes a block, and what is found for each row.
-_BEFORE = ("previous_event", "sessions_before")
 _FOUND = ("is_new_session", "previous_started_at", "session_number")
 
 
@@ -112,15 +110,14 @@ def sessionize(
     tagged = (
         rows.alias("rows")
         .join(hot_blocks.alias("hot"), _same_block(), "left")
-        .select("rows.*", *[F.col(f"hot.{name}") for name in _BEFORE])
+        .select("rows.*", "hot.before")
     )
-    # An outer join with a null test, not an anti join: it reads the same slice
-    # shuffle as the other branches, where an anti join would prune its columns.
-    in_hot_block = F.col("sessions_before").isNotNull()
-    cold_rows = tagged.filter(~in_hot_block).drop(*_BEFORE)
-    cold = _number_rows(cold_rows, blocks.filter(~is_hot), "block", gap, tie_break)
-    hot_rows = tagged.filter(in_hot_block)
-    hot = _number_hot_rows(hot_rows, gap, tie_break)
+    # Both tests read the whole of ``before``, so all branches share one broadcast
+    # and one slice shuffle; an anti join would prune its copy of them.
+    cold_rows = tagged.filter(F.col("before").isNull()).drop("before")
+    cold_blocks = blocks.filter(~is_hot)
+    cold = _number_rows(cold_rows, cold_blocks, ["block"], gap, tie_break)
+    hot = _number_hot_rows(tagged.filter(F.col("before").isNotNull()), gap, tie_break)
 
     kept = [*events.columns, *_FOUND]
     return (
@@ -139,11 +136,18 @@ def _blocks(slices: DataFrame, gap: int) -> DataFrame:
     """What precedes each (user, block): the last event and the number of sessions."""
     start = F.col("slice_start")
     block = start - F.pmod(start, F.lit(max(gap, 1) * SLICES_PER_BLOCK).cast("long"))
-    already_open = F.col("session_number") - F.col("opens_session")
+    before = _before(
+        F.col("previous_event"), F.col("session_number") - F.col("opens_session")
+    )
     return slices.groupBy("user_id", block.alias("block")).agg(
         F.sum("track_count").alias("track_count"),
-        F.min_by("previous_event", "slice_start").alias("previous_event"),
-        F.min(already_open).alias("sessions_before"),
+        F.min_by(before, "slice_start").alias("before"),
+    )
+
+
+def _before(previous_event: Column, sessions_before: Column) -> Column:
+    return F.struct(
+        previous_event.alias("previous_event"), sessions_before.alias("sessions_before")
     )
 
 
@@ -151,72 +155,82 @@ def _number_hot_rows(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> Dat
     """Number the rows of hot blocks without sorting a whole block in one task.
 
     ``rows`` carry what precedes their block. They are first ranked per (user,
-    instant, input split): all but the first of such a group have their own
-    time as previous time and need no further sorting. The remaining leaders,
-    one per group, are numbered like ordinary rows, in cells shorter than a
-    slice, and followers take their leader's session.
+    instant, input split). The first of each such group is its leader; all
+    others have their own time as previous time and the leader's session.
+    Leaders are numbered like ordinary rows, in cells shorter than a slice,
+    while the others stay apart in groups no larger than an input split.
     """
     cell = slice_start(F.col("started_at"), max(gap // CELLS_PER_SLICE, 1))
-    at_instant = Window.partitionBy("user_id", "started_at", "input_split").orderBy(
-        *(tie_break or ["started_at"])
-    )
-    ranked = rows.select(
-        "*", cell.alias("cell"), F.spark_partition_id().alias("input_split")
-    ).withColumn("place", F.row_number().over(at_instant))
-    leaders = ranked.filter(F.col("place") == 1)
-    followers = ranked.filter(F.col("place") > 1)
-
+    rows = rows.withColumn("cell", cell)
     in_block = Window.partitionBy("user_id", "block").orderBy("cell")
+    last_before = F.coalesce(F.lag("last_event").over(in_block), "before.previous_event")
+    opened_before = F.col("opened") - F.col("opens_session")
     cells = (
-        leaders.groupBy("user_id", "block", "cell", *_BEFORE)
-        .agg(F.min("started_at").alias("first_event"), F.max("started_at").alias("last_event"))
-        .withColumn(
-            "previous_event", F.coalesce(F.lag("last_event").over(in_block), "previous_event")
+        rows.groupBy("user_id", "block", "cell")
+        .agg(
+            F.min("started_at").alias("first_event"),
+            F.max("started_at").alias("last_event"),
+            F.any_value("before").alias("before"),
         )
+        .withColumn("previous_event", last_before)
         .withColumn("opens_session", _opens(F.col("first_event"), gap))
         .withColumn("opened", F.sum("opens_session").over(_up_to_here(in_block)))
         .select(
             "user_id",
             "cell",
-            "previous_event",
-            (F.col("sessions_before") + F.col("opened") - F.col("opens_session")).alias(
-                "sessions_before"
-            ),
+            _before(
+                F.col("previous_event"), F.col("before.sessions_before") + opened_before
+            ).alias("before"),
         )
     )
-    led = _number_rows(leaders.drop(*_BEFORE), cells, "cell", gap, tie_break)
-    following = followers.withColumns(
+
+    group = Window.partitionBy("user_id", "started_at", "input_split")
+    ranked = (
+        rows.drop("before")
+        .withColumn("input_split", F.spark_partition_id())
+        .withColumn("place", F.row_number().over(group.orderBy(*(tie_break or ["started_at"]))))
+    )
+    follows = F.col("place") > 1
+    apart = F.when(follows, F.struct("started_at", "input_split"))
+    numbered = _number_rows(
+        ranked.withColumn("apart", apart), cells, ["cell", "apart"], gap, tie_break
+    )
+    of_leader = F.max(F.when(~follows, F.col("session_number"))).over(group)
+    previous = F.when(follows, F.col("started_at")).otherwise(F.col("previous_started_at"))
+    return numbered.withColumns(
         {
-            "previous_started_at": F.col("started_at"),
-            "is_new_session": F.lit(0),
-            "session_number": F.lit(None).cast("long"),
+            "previous_started_at": previous,
+            "is_new_session": F.when(follows, 0).otherwise(F.col("is_new_session")),
+            "session_number": of_leader,
         }
     )
-    with_leader = Window.partitionBy("user_id", "started_at", "input_split")
-    both = led.unionByName(following.select(*led.columns))
-    return both.withColumn("session_number", F.max("session_number").over(with_leader))
 
 
 def _number_rows(
-    rows: DataFrame, intervals: DataFrame, interval: str, gap: int, tie_break: Sequence[str]
+    rows: DataFrame,
+    intervals: DataFrame,
+    keys: Sequence[str],
+    gap: int,
+    tie_break: Sequence[str],
 ) -> DataFrame:
     """Previous event, session flag and session number for rows, interval by interval.
 
     ``intervals`` has one row per (user, interval) with what precedes it. That
     row is sorted ahead of the interval's events as a marker, so one sort
-    serves the lag and the running count, and null users match as well.
+    serves the lag and the running count, and null users match as well. The
+    interval is the first of ``keys``; rows with further keys set see no marker.
     """
     markers = intervals.select(
         "user_id",
-        interval,
+        keys[0],
         F.lit(0).alias("_rank"),
-        F.col("previous_event").alias("_clock"),
-        F.col("sessions_before").alias("_sessions"),
+        F.col("before.previous_event").alias("_clock"),
+        F.col("before.sessions_before").alias("_sessions"),
     )
     marked = rows.withColumns(
         {"_rank": F.lit(1), "_clock": F.col("started_at"), "_sessions": F.lit(None).cast("long")}
     ).unionByName(markers, allowMissingColumns=True)
-    ordered = Window.partitionBy("user_id", interval).orderBy("_rank", "started_at", *tie_break)
+    ordered = Window.partitionBy("user_id", *keys).orderBy("_rank", "started_at", *tie_break)
     opened = F.when(F.col("_rank") == 0, F.col("_sessions")).otherwise(F.col("is_new_session"))
     return (
         marked.withColumn("previous_event", F.lag("_clock").over(ordered))
