@@ -53,31 +53,38 @@ ARTIST = Identity(
 def name_map(events: DataFrame, kind: Identity) -> DataFrame:
     """Per name: number of distinct ids and the smallest of them; a null name is its own group."""
     return (
-        events.filter(F.col(kind.id_column).isNotNull())
+        _names_with_ids(events.filter(F.col(kind.id_column).isNotNull()), kind)
         .groupBy(*kind.names)
         .agg(
-            F.count_distinct(kind.id_column).alias(kind.distinct_ids),
+            F.count(F.lit(1)).alias(kind.distinct_ids),
             F.min(kind.id_column).alias(kind.example_id),
         )
     )
 
 
 def name_map_stats(events: DataFrame, kind: Identity) -> DataFrame:
-    """One row: names with exactly one id, names with several.
-
-    One id means smallest equals largest, so no distinct count is needed.
-    """
-    bounds = (
-        events.filter(F.col(kind.id_column).isNotNull())
+    """One row: names with exactly one id, names with several."""
+    ids_per_name = (
+        _names_with_ids(events.filter(F.col(kind.id_column).isNotNull()), kind)
         .groupBy(*kind.names)
-        .agg(F.min(kind.id_column).alias("low"), F.max(kind.id_column).alias("high"))
+        .agg(F.count(F.lit(1)).alias("ids"))
     )
-    return bounds.agg(
-        F.count_if(F.col("low") == F.col("high")).alias(kind.unique_names),
-        F.count_if(F.col("low") != F.col("high")).alias(kind.ambiguous_names),
+    return ids_per_name.agg(
+        F.count_if(F.col("ids") == 1).alias(kind.unique_names),
+        F.count_if(F.col("ids") > 1).alias(kind.ambiguous_names),
     )
 
 
+def _names_with_ids(events: DataFrame, kind: Identity) -> DataFrame:
+    """Each (name, id) pair once, with its rows.
+
+    Counting is a hash aggregate combined before the shuffle, also for a name
+    with a large share of the rows. A smallest or largest string cannot be kept
+    in a hash aggregate and would sort all events, so those come after this step.
+    """
+    return events.groupBy(*kind.names, kind.id_column).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def ambiguous_names(events: DataFrame, kind: Identity, count: int = 20) -> DataFrame:
     """The names with the most ids, several each."""
     several = name_map(events, kind).filter(F.col(kind.distinct_ids) > 1)
@@ -87,12 +94,16 @@ def ambiguous_names(events: DataFrame, kind: Identity, count: int = 20) -> DataF
 def recoverable_rows(events: DataFrame, kind: Identity) -> DataFrame:
     """Events without an id whose name has exactly one, with that id beside them.
 
-    The map side has one row per name, so a name with very many events only
-    ever grows the event side, which AQE splits. A null name matches nothing.
+    The map has one row per name, so only the event side can be skewed. The
+    hash makes the join exchange both sides itself instead of building on the
+    map's aggregation, and AQE splits skewed partitions of such exchanges only.
+    A null name matches nothing.
     """
+    name_hash = F.xxhash64(*kind.names).alias("name_hash")
     unique = name_map(events, kind).filter(F.col(kind.distinct_ids) == 1)
-    missing = events.filter(F.col(kind.id_column).isNull())
-    return missing.join(unique.drop(kind.distinct_ids), list(kind.names)).select(
+    unique = unique.select(*kind.names, name_hash, kind.example_id)
+    missing = events.filter(F.col(kind.id_column).isNull()).select("*", name_hash)
+    return missing.join(unique, [*kind.names, "name_hash"]).select(
         *events.columns, kind.example_id
     )
 
@@ -100,15 +111,18 @@ def recoverable_rows(events: DataFrame, kind: Identity) -> DataFrame:
 def backfill_coverage(events: DataFrame, kind: Identity) -> DataFrame:
     """One row: events without an id, how many an exact name match recovers, and the rate.
 
-    Counted per name in one aggregate instead of joining the events to the map.
+    Counted from (name, id) pairs instead of joining the events to the map.
     """
-    id_column = F.col(kind.id_column)
-    per_name = events.groupBy(*kind.names).agg(
-        F.count_if(id_column.isNull()).alias("missing"),
-        F.min(id_column).alias("low"),
-        F.max(id_column).alias("high"),
+    is_missing = F.col(kind.id_column).isNull()
+    per_name = (
+        _names_with_ids(events, kind)
+        .groupBy(*kind.names)
+        .agg(
+            F.sum(F.when(is_missing, F.col("rows"))).alias("missing"),
+            F.count(kind.id_column).alias("ids"),
+        )
     )
-    unique = F.col("low") == F.col("high")
+    unique = F.col("ids") == 1
     for name in kind.names:
         unique = unique & F.col(name).isNotNull()
     nothing = F.lit(0).cast("long")

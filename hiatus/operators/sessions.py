@@ -33,6 +33,8 @@ CELLS_PER_SLICE = 32
 # total / MAX_HOT_BLOCKS rows, which bounds the broadcast list of hot blocks.
 MAX_HOT_BLOCKS = 100_000
 
+# What precedes a block, and what is found for each row.
+_BEFORE = ("previous_event", "sessions_before")
 _FOUND = ("is_new_session", "previous_started_at", "session_number")
 
 
@@ -110,14 +112,18 @@ def sessionize(
     tagged = (
         rows.alias("rows")
         .join(hot_blocks.alias("hot"), _same_block(), "left")
-        .select("rows.*", "hot.before")
+        .select("rows.*", *[F.col(f"hot.{name}") for name in _BEFORE])
     )
-    # Both tests read the whole of ``before``, so all branches share one broadcast
-    # and one slice shuffle; an anti join would prune its copy of them.
-    cold_rows = tagged.filter(F.col("before").isNull()).drop("before")
+    # An outer join tested for null, and a test that holds for every row of a hot
+    # block: with all columns in use, every branch reads the same slice shuffle.
+    cold_rows = tagged.filter(F.col("sessions_before").isNull()).drop(*_BEFORE)
     cold_blocks = blocks.filter(~is_hot)
     cold = _number_rows(cold_rows, cold_blocks, ["block"], gap, tie_break)
-    hot = _number_hot_rows(tagged.filter(F.col("before").isNotNull()), gap, tie_break)
+    follows_history = F.col("previous_event").isNull() | (
+        F.col("previous_event") <= F.col("started_at")
+    )
+    hot_rows = tagged.filter(F.col("sessions_before").isNotNull() & follows_history)
+    hot = _number_hot_rows(hot_rows, gap, tie_break)
 
     kept = [*events.columns, *_FOUND]
     return (
@@ -136,18 +142,11 @@ def _blocks(slices: DataFrame, gap: int) -> DataFrame:
     """What precedes each (user, block): the last event and the number of sessions."""
     start = F.col("slice_start")
     block = start - F.pmod(start, F.lit(max(gap, 1) * SLICES_PER_BLOCK).cast("long"))
-    before = _before(
-        F.col("previous_event"), F.col("session_number") - F.col("opens_session")
-    )
+    already_open = F.col("session_number") - F.col("opens_session")
     return slices.groupBy("user_id", block.alias("block")).agg(
         F.sum("track_count").alias("track_count"),
-        F.min_by(before, "slice_start").alias("before"),
-    )
-
-
-def _before(previous_event: Column, sessions_before: Column) -> Column:
-    return F.struct(
-        previous_event.alias("previous_event"), sessions_before.alias("sessions_before")
+        F.min_by("previous_event", "slice_start").alias("previous_event"),
+        F.min(already_open).alias("sessions_before"),
     )
 
 
@@ -163,14 +162,15 @@ def _number_hot_rows(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> Dat
     cell = slice_start(F.col("started_at"), max(gap // CELLS_PER_SLICE, 1))
     rows = rows.withColumn("cell", cell)
     in_block = Window.partitionBy("user_id", "block").orderBy("cell")
-    last_before = F.coalesce(F.lag("last_event").over(in_block), "before.previous_event")
+    last_before = F.coalesce(F.lag("last_event").over(in_block), "block_previous")
     opened_before = F.col("opened") - F.col("opens_session")
     cells = (
         rows.groupBy("user_id", "block", "cell")
         .agg(
             F.min("started_at").alias("first_event"),
             F.max("started_at").alias("last_event"),
-            F.any_value("before").alias("before"),
+            F.any_value("previous_event").alias("block_previous"),
+            F.any_value("sessions_before").alias("block_sessions"),
         )
         .withColumn("previous_event", last_before)
         .withColumn("opens_session", _opens(F.col("first_event"), gap))
@@ -178,15 +178,14 @@ def _number_hot_rows(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> Dat
         .select(
             "user_id",
             "cell",
-            _before(
-                F.col("previous_event"), F.col("before.sessions_before") + opened_before
-            ).alias("before"),
+            "previous_event",
+            (F.col("block_sessions") + opened_before).alias("sessions_before"),
         )
     )
 
     group = Window.partitionBy("user_id", "started_at", "input_split")
     ranked = (
-        rows.drop("before")
+        rows.drop(*_BEFORE)
         .withColumn("input_split", F.spark_partition_id())
         .withColumn("place", F.row_number().over(group.orderBy(*(tie_break or ["started_at"]))))
     )
@@ -224,8 +223,8 @@ def _number_rows(
         "user_id",
         keys[0],
         F.lit(0).alias("_rank"),
-        F.col("before.previous_event").alias("_clock"),
-        F.col("before.sessions_before").alias("_sessions"),
+        F.col("previous_event").alias("_clock"),
+        F.col("sessions_before").alias("_sessions"),
     )
     marked = rows.withColumns(
         {"_rank": F.lit(1), "_clock": F.col("started_at"), "_sessions": F.lit(None).cast("long")}

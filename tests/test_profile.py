@@ -116,3 +116,45 @@ def test_missing_rows_listing(clean):
     assert listed.columns == [
         "user_id", "started_at", "artist_id", "artist_name", "track_id", "track_name",
     ]
+
+
+def test_backfill_join_splits_a_name_with_most_rows(spark):
+    """One name has nearly all rows without an id; AQE reads its partition in pieces."""
+    events = spark.range(300_000, numPartitions=8).selectExpr(
+        "'u' AS user_id",
+        "timestamp_seconds(id) AS started_at",
+        "CAST(NULL AS string) AS artist_id",
+        "'A' AS artist_name",
+        "IF(id < 100, concat('t', id % 50), NULL) AS track_id",
+        "IF(id < 100, concat('n', id % 50), 'n1') AS track_name",
+        "sha2(CAST(id AS string), 256) AS song_id",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = identity.recoverable_rows(events, identity.TRACK)
+        assert len(found.collect()) == 299_900
+        assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("kind", [identity.TRACK, identity.ARTIST])
+def test_events_are_hash_aggregated_before_the_first_shuffle(clean, kind):
+    for frame in (
+        identity.name_map_stats(clean, kind),
+        identity.backfill_coverage(clean, kind),
+        profile.missing_profile(clean),
+        profile.dataset_profile(clean),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan

@@ -198,3 +198,25 @@ def test_summary_reads_two_columns_and_aggregates_before_the_shuffle(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in physical
     assert physical.count("Exchange hashpartitioning") == 2
     assert "partial_min" in physical
+
+
+def test_rows_are_sorted_only_by_windows(spark):
+    """No aggregate falls back to sorting events, and ordinary rows cross one shuffle."""
+    _, frame = random_events(spark, 5)
+    plan = sessionize(frame, 20, ["event_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert "SortMergeJoin" not in plan
+
+
+def test_branch_for_hot_blocks_is_dropped_when_there_are_none(spark):
+    _, frame = random_events(spark, 6)
+
+    def runs_both_branches(**options):
+        result = sessionize(frame, 20, ["event_id"], **options)
+        result.collect()
+        final = result._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert "Final Plan" in final[1]
+        return "Union" in final[3]
+
+    assert runs_both_branches(hot_block_rows=10)
+    assert not runs_both_branches()
