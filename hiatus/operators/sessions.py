@@ -33,9 +33,8 @@ CELLS_PER_SLICE = 32
 # total / MAX_HOT_BLOCKS rows, which bounds the broadcast list of hot blocks.
 MAX_HOT_BLOCKS = 100_000
 
-# What precedes a block, and what is found for each row.
+# What precedes a block.
 _BEFORE = ("previous_event", "sessions_before")
-_FOUND = ("is_new_session", "previous_started_at", "session_number")
 
 
 def session_slices(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES) -> DataFrame:
@@ -51,10 +50,12 @@ def session_slices(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES)
         )
     )
     in_time = Window.partitionBy("user_id").orderBy("slice_start")
-    return (
-        slices.withColumn("previous_event", F.lag("last_event").over(in_time))
-        .withColumn("opens_session", _opens(F.col("first_event"), gap))
-        .withColumn("session_number", F.sum("opens_session").over(_up_to_here(in_time)))
+    opens = _opens("first_event", "previous_event", gap)
+    return slices.withColumn("previous_event", F.lag("last_event").over(in_time)).withColumns(
+        {
+            "opens_session": opens,
+            "session_number": F.sum(opens).over(_up_to_here(in_time)),
+        }
     )
 
 
@@ -125,17 +126,15 @@ def sessionize(
     hot_rows = tagged.filter(F.col("sessions_before").isNotNull() & follows_history)
     hot = _number_hot_rows(hot_rows, gap, tie_break)
 
-    kept = [*events.columns, *_FOUND]
-    return (
-        cold.select(*kept)
-        .unionByName(hot.select(*kept))
-        .select(
-            *events.columns,
-            _pause_seconds().alias("gap_seconds"),
-            *_FOUND,
-            session_id(F.col("user_id"), F.col("session_number")).alias("session_id"),
-        )
-    )
+    shown = [
+        *events.columns,
+        _pause_seconds().alias("gap_seconds"),
+        "is_new_session",
+        "previous_started_at",
+        "session_number",
+        session_id(F.col("user_id"), F.col("session_number")).alias("session_id"),
+    ]
+    return cold.select(*shown).unionByName(hot.select(*shown))
 
 
 def _blocks(slices: DataFrame, gap: int) -> DataFrame:
@@ -163,7 +162,8 @@ def _number_hot_rows(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> Dat
     rows = rows.withColumn("cell", cell)
     in_block = Window.partitionBy("user_id", "block").orderBy("cell")
     last_before = F.coalesce(F.lag("last_event").over(in_block), "block_previous")
-    opened_before = F.col("opened") - F.col("opens_session")
+    opens = _opens("first_event", "previous_event", gap)
+    opened_before = F.sum(opens).over(_up_to_here(in_block)) - opens
     cells = (
         rows.groupBy("user_id", "block", "cell")
         .agg(
@@ -173,8 +173,6 @@ def _number_hot_rows(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> Dat
             F.any_value("sessions_before").alias("block_sessions"),
         )
         .withColumn("previous_event", last_before)
-        .withColumn("opens_session", _opens(F.col("first_event"), gap))
-        .withColumn("opened", F.sum("opens_session").over(_up_to_here(in_block)))
         .select(
             "user_id",
             "cell",
@@ -184,10 +182,11 @@ def _number_hot_rows(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> Dat
     )
 
     group = Window.partitionBy("user_id", "started_at", "input_split")
+    place = F.row_number().over(group.orderBy(*(tie_break or ["started_at"])))
     ranked = (
         rows.drop(*_BEFORE)
         .withColumn("input_split", F.spark_partition_id())
-        .withColumn("place", F.row_number().over(group.orderBy(*(tie_break or ["started_at"]))))
+        .withColumn("place", place)
     )
     follows = F.col("place") > 1
     apart = F.when(follows, F.struct("started_at", "input_split"))
@@ -230,14 +229,17 @@ def _number_rows(
         {"_rank": F.lit(1), "_clock": F.col("started_at"), "_sessions": F.lit(None).cast("long")}
     ).unionByName(markers, allowMissingColumns=True)
     ordered = Window.partitionBy("user_id", *keys).orderBy("_rank", "started_at", *tie_break)
-    opened = F.when(F.col("_rank") == 0, F.col("_sessions")).otherwise(F.col("is_new_session"))
+    opens = _opens("started_at", "previous_started_at", gap)
+    opened = F.when(F.col("_rank") == 0, F.col("_sessions")).otherwise(opens)
     return (
-        marked.withColumn("previous_event", F.lag("_clock").over(ordered))
-        .withColumn("is_new_session", _opens(F.col("started_at"), gap))
-        .withColumn("session_number", F.sum(opened).over(_up_to_here(ordered)))
+        marked.withColumn("previous_started_at", F.lag("_clock").over(ordered))
+        .withColumns(
+            {
+                "is_new_session": opens,
+                "session_number": F.sum(opened).over(_up_to_here(ordered)),
+            }
+        )
         .filter(F.col("_rank") == 1)
-        .withColumnRenamed("previous_event", "previous_started_at")
-        .drop("_rank", "_clock", "_sessions")
     )
 
 
@@ -245,11 +247,10 @@ def _slice_of(gap: int) -> Column:
     return slice_start(F.col("started_at"), max(gap, 1))
 
 
-def _opens(event: Column, gap: int) -> Column:
-    """1 if ``event`` is more than a gap after ``previous_event``, or has none before it."""
-    previous = F.col("previous_event")
+def _opens(event: str, previous: str, gap: int) -> Column:
+    """1 if ``event`` is more than a gap after ``previous``, or nothing came before it."""
     pause = F.unix_micros(event) - F.unix_micros(previous)
-    return F.when(previous.isNull() | (pause > gap), F.lit(1)).otherwise(F.lit(0))
+    return F.when(F.col(previous).isNull() | (pause > gap), F.lit(1)).otherwise(F.lit(0))
 
 
 def _up_to_here(ordered: WindowSpec) -> WindowSpec:
