@@ -76,7 +76,7 @@ def main() -> None:
         "value": round(sum(timings.values()), 4),
         "unit": "sec",
         "queries": timings,
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")),
     }
     print(json.dumps(result))
 

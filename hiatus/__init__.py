@@ -42,4 +42,52 @@ from hiatus.plans.sessions import materialize, prepare, top_songs_in_top_session
 from hiatus.schema import EVENT_COLUMNS, RAW_EVENTS, as_events
 from hiatus.sources import load_events, read_tsv, stage_events, suggest_partitions, write_tsv
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "ARTIST",
+    "EVENT_COLUMNS",
+    "RAW_EVENTS",
+    "TRACK",
+    "ambiguous_names",
+    "as_events",
+    "backfill_coverage",
+    "dataset_profile",
+    "date_coverage",
+    "first_events",
+    "fit_models",
+    "forecast_history",
+    "forecast_top_user",
+    "forecast_users",
+    "load_events",
+    "materialize",
+    "missing_profile",
+    "monthly_history",
+    "monthly_metrics",
+    "most_active_user",
+    "name_map",
+    "name_map_stats",
+    "parsed_times",
+    "plays_per_month",
+    "plays_per_user",
+    "plays_per_year",
+    "prepare",
+    "raw_quality",
+    "read_tsv",
+    "recoverable_rows",
+    "recursive_forecast",
+    "rows_missing",
+    "series_features",
+    "session_stats",
+    "sessionize",
+    "stage_events",
+    "suggest_partitions",
+    "summarize_events",
+    "summarize_sessionized",
+    "top_sessions",
+    "top_songs",
+    "top_songs_in_top_sessions",
+    "top_user",
+    "top_users",
+    "usable_rows",
+    "validation_errors",
+    "write_tsv",
+]
