@@ -7,6 +7,8 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, differences
 from conftest import TEST_TABLES
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,7 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_comparison_notices_a_wrong_value(spark, database):
@@ -34,7 +36,7 @@ def test_flagship_query(spark):
     ]
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, database, name):
     result = contract.queries()[name](spark, TEST_TABLES)
     assert differences(result, database, contract.oracle_sql()[name]) == []
