@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +40,11 @@ def vocabulary_counts(documents: DataFrame, text: str, vocabulary) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order = {word: place for place, word in enumerate(vocabulary.value)}
-        totals = np.zeros(len(order) + 1, dtype=np.int64)
+        totals: Counter = Counter()
         for batch in batches:
             for content in batch["text"]:
-                places = [order.get(word, -1) for word in words(content)]
-                np.add.at(totals, places, 1)
-        seen = np.flatnonzero(totals[:-1])
-        yield pd.DataFrame({"place": seen, "n": totals[seen]})
+                totals.update([word for word in words(content) if word in order])
+        yield pd.DataFrame({"place": [order[w] for w in totals], "n": list(totals.values())}, dtype="int64")
 
     return (
         documents.select(text_bytes(text).alias("text"))
@@ -84,15 +82,16 @@ class Index:
         found = words(text)
         count, by_word = len(found), self.by_word
         spans, items = [], set()
-        for place, word in enumerate(found):
-            if word in by_word:
-                for at, size, window, places in by_word[word]:
-                    start = place - at
-                    if start < 0 or start + size > count:  # no room on one side
-                        continue
-                    if tuple(found[start : start + size]) == window:
-                        spans.append((start, start + size))
-                        items.update(places)
+        if by_word.keys().isdisjoint(found):
+            return count, spans, items
+        for place, word in [(place, word) for place, word in enumerate(found) if word in by_word]:
+            for at, size, window, places in by_word[word]:
+                start = place - at
+                if start < 0 or start + size > count:  # no room on one side
+                    continue
+                if tuple(found[start : start + size]) == window:
+                    spans.append((start, start + size))
+                    items.update(places)
         return count, spans, items
 
 

@@ -6,6 +6,7 @@ import heapq
 import json
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -109,6 +110,12 @@ class Merges:
         return total + self._ordinary(text[start:] if start else text)
 
 
+@lru_cache(maxsize=2)
+def merges_of(path: str) -> Merges:
+    """One copy for a Python worker, whose known pieces serve its later tasks too."""
+    return Merges(path)
+
+
 def token_counts(documents: DataFrame, vocabulary: str, text: str = "text", limit: int = LIMIT) -> DataFrame:
     """Every document with ``n_bytes``, ``n_tokens`` and ``over_limit`` (replaced if there).
 
@@ -119,7 +126,7 @@ def token_counts(documents: DataFrame, vocabulary: str, text: str = "text", limi
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        merges = Merges(vocabulary)
+        merges = merges_of(vocabulary)
         for batch in batches:
             yield pd.Series([merges.count(x) for x in batch], dtype="int64")
 
