@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hiatus.llm.tables import fresh, text_bytes, written
+from hiatus.llm.tables import discard, fresh, text_bytes, written
 
 LENGTH = 200
 #: Bytes of an anchor, as a share of the length: 64 of 200.
@@ -193,42 +193,58 @@ def _contexts(documents: DataFrame, key: str, text: str, classes: DataFrame, len
     )
 
 
-def _cell_bounds(run, size: int, length: int) -> tuple[np.ndarray, ...]:
-    """(cell, first and last string, both inside the text too) of a run's cells."""
-    cell = np.arange((run.place - run.last) // size, (run.place - run.first) // size + 1)
-    low, high = run.place - cell * size - size + 1, run.place - cell * size
-    return cell, low, high, np.maximum(low, run.base), np.minimum(high, run.base + len(run.context) - length)
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, turn) of ``counts[row]`` entries for each row."""
+    rows = np.repeat(np.arange(len(counts)), counts)
+    return rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _cut_digests(contents: list[bytes], rows, starts, ends, seed: int) -> np.ndarray:
+    """The hash of a part of ``contents[row]`` for each row."""
+    digest = xxhash.xxh64_intdigest
+    parts = zip(rows.tolist(), starts.tolist(), ends.tolist())
+    return np.fromiter(
+        (digest(contents[r][a:b], seed) for r, a, b in parts), dtype=np.uint64, count=len(rows)
+    ).view(np.int64)
+
+
+def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(n).to_numpy().astype(np.int64) for n in names]
+
+
+def _small(values: np.ndarray) -> pa.Array:
+    return pa.array(values.astype(np.int32))
 
 
 def _cells(contexts: DataFrame, length: int, size: int) -> DataFrame:
     """The cells of each run, with hashes of their common and their whole content."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 1024):
-                parts = []
-                for run in batch[start : start + 1024].itertuples(index=False):
-                    cell, low, high, inner_low, inner_high = _cell_bounds(run, size, length)
-                    common = _digests(run.context, high - run.base, low + length - run.base, 3)
-                    whole = _digests(run.context, inner_low - run.base, inner_high + length - run.base, 4)
-                    parts.append(
-                        pd.DataFrame(
-                            {
-                                "key": [run.key] * len(cell),
-                                "anchor": run.anchor,
-                                "run": run.whole,
-                                "single": run.single,
-                                "cell": cell,
-                                "common": common,
-                                "whole": whole ^ (inner_low - low) ^ ((high - inner_high) << 16),
-                                "low": inner_low,
-                                "high": inner_high,
-                            }
-                        )
-                    )
-                yield pd.concat(parts)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in batches:
+            for start in range(0, whole_batch.num_rows, 2048):
+                batch = whole_batch.slice(start, 2048)
+                first, last, place, base = _numbers(batch, "first", "last", "place", "base")
+                contents = batch.column("context").to_pylist()
+                most = base + np.array([len(x) for x in contents]) - length
+                near = (place - last) // size
+                rows, turn = _spread((place - first) // size - near + 1)
+                cell = near[rows] + turn
+                high = place[rows] - cell * size
+                low = high - size + 1
+                base = base[rows]
+                inner_low, inner_high = np.maximum(low, base), np.minimum(high, most[rows])
+                common = _cut_digests(contents, rows, high - base, low + length - base, 3)
+                whole = _cut_digests(contents, rows, inner_low - base, inner_high + length - base, 4)
+                # cells cut short by a text's ends equal only cells that are cut alike
+                whole ^= (inner_low - low) ^ ((high - inner_high) << 16)
+                take = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(n).take(take) for n in ("key", "anchor", "whole", "single")]
+                    + [_small(cell), pa.array(common), pa.array(whole), _small(inner_low), _small(inner_high)],
+                    names=["key", "anchor", "run", "single", "cell", "common", "whole", "low", "high"],
+                )
 
-    return contexts.mapInPandas(
+    return contexts.mapInArrow(
         cut,
         "key binary, anchor long, run long, single boolean, cell int, common long, whole long, low int, high int",
     )
@@ -236,39 +252,30 @@ def _cells(contexts: DataFrame, length: int, size: int) -> DataFrame:
 
 def _strings(contexts: DataFrame, cell_classes: DataFrame, length: int) -> DataFrame:
     """Every string of one cell of each class; ``single`` if no other cell equals it."""
-    lists = written(
-        cell_classes.groupBy("anchor", F.col("run").alias("whole")).agg(
-            F.collect_set(F.struct("low", "high", "alone")).alias("cells")
-        ),
-        "pending",
-    )
+    chosen = cell_classes.select("anchor", F.col("run").alias("whole"), "low", "high", "alone").distinct()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 1024):
-                parts = []
-                for run in batch[start : start + 1024].itertuples(index=False):
-                    low = np.array([x["low"] for x in run.cells])
-                    sizes = np.array([x["high"] for x in run.cells]) - low + 1
-                    at = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                    begin = at - run.base
-                    parts.append(
-                        pd.DataFrame(
-                            {
-                                "key": [run.key] * len(at),
-                                "anchor": run.anchor,
-                                "single": run.single & np.repeat([x["alone"] for x in run.cells], sizes),
-                                "string": _digests(run.context, begin, begin + length, 5),
-                                "at": at,
-                            }
-                        )
-                    )
-                yield pd.concat(parts)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole_batch in batches:
+            for start in range(0, whole_batch.num_rows, 2048):
+                batch = whole_batch.slice(start, 2048)
+                low, high, base = _numbers(batch, "low", "high", "base")
+                contents = batch.column("context").to_pylist()
+                rows, turn = _spread(high - low + 1)
+                at = low[rows] + turn
+                string = _cut_digests(contents, rows, at - base[rows], at - base[rows] + length, 5)
+                take = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(n).take(take) for n in ("key", "anchor", "single")]
+                    + [pa.array(string), _small(at)],
+                    names=["key", "anchor", "single", "string", "at"],
+                )
 
     return (
-        contexts.join(lists, ["anchor", "whole"])
-        .select("key", "anchor", "single", "base", "context", "cells")
-        .mapInPandas(cut, "key binary, anchor long, single boolean, string long, at int")
+        contexts.join(chosen, ["anchor", "whole"])
+        .select(
+            "key", "anchor", (F.col("single") & F.col("alone")).alias("single"), "base", "context", "low", "high"
+        )
+        .mapInArrow(cut, "key binary, anchor long, single boolean, string long, at int")
     )
 
 
@@ -280,10 +287,9 @@ def repeated_spans(documents: DataFrame, key: str, text: str = "text", length: i
     """
     anchor = max(1, int(length * ANCHOR_SHARE))
     size = max(1, min(CELL, length // 4))
-    found = written(
-        _repeated(written(_all_runs(documents, key, text, length, anchor), "runs"), ["anchor"], "whole"),
-        "repeated-runs",
-    )
+    every = written(_all_runs(documents, key, text, length, anchor), "runs")
+    found = written(_repeated(every, ["anchor"], "whole"), "repeated-runs")
+    discard(every)
     span = ("key", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     several = found.where("several")
     classes = written(
@@ -293,7 +299,9 @@ def repeated_spans(documents: DataFrame, key: str, text: str = "text", length: i
         "classes",
     )
     contexts = written(_contexts(documents, key, text, classes, length, size), "contexts")
-    cells = written(_repeated(_cells(contexts, length, size), ["anchor", "cell", "common"], "whole"), "cells")
+    every = written(_cells(contexts, length, size), "all-cells")
+    cells = written(_repeated(every, ["anchor", "cell", "common"], "whole"), "cells")
+    discard(every)
     pending = cells.where("several")
     cell_classes = written(
         pending.groupBy("anchor", "cell", "whole")
@@ -302,6 +310,7 @@ def repeated_spans(documents: DataFrame, key: str, text: str = "text", length: i
         "cell-classes",
     )
     strings = written(_strings(contexts, cell_classes, length), "strings")
+    discard(contexts)
     twice = written(
         strings.groupBy("anchor", "string").agg(F.count("*").alias("_rows")).where("_rows > 1").drop("_rows"),
         "equal-strings",

@@ -45,6 +45,18 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Deletes a written table that no later step reads.
+
+    Only tables whose readers have all been written in turn may go. Spark has no
+    call for this, so it goes through the file system that the path names.
+    """
+    context = frame.sparkSession.sparkContext
+    for folder in {path.rsplit("/", 1)[0] for path in frame.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_bytes(name: str = "text") -> Column:
     """A text column as UTF-8 bytes; null becomes empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b"").cast("binary"))
