@@ -40,7 +40,7 @@ from hiatus.operators.sessions import sessionize, summarize_events, summarize_se
 from hiatus.plans.forecast import forecast_history, forecast_top_user, forecast_users
 from hiatus.plans.sessions import materialize, prepare, top_songs_in_top_sessions
 from hiatus.schema import EVENT_COLUMNS, RAW_EVENTS, as_events
-from hiatus.sources import load_events, read_tsv, stage_events, suggest_partitions, write_tsv
+from hiatus.sources import load_events, read_export, read_tsv, stage_events, write_tsv
 
 __all__ = [
     "ARTIST",
@@ -71,6 +71,7 @@ __all__ = [
     "plays_per_year",
     "prepare",
     "raw_quality",
+    "read_export",
     "read_tsv",
     "recoverable_rows",
     "recursive_forecast",
@@ -79,7 +80,6 @@ __all__ = [
     "session_stats",
     "sessionize",
     "stage_events",
-    "suggest_partitions",
     "summarize_events",
     "summarize_sessionized",
     "top_sessions",

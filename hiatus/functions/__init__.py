@@ -5,6 +5,8 @@ from hiatus.functions.times import (
     next_month,
     session_id,
     slice_start,
+    utc_clock,
+    utc_instant,
     whole_seconds,
 )
 
@@ -16,5 +18,7 @@ __all__ = [
     "rounded_half_even",
     "session_id",
     "slice_start",
+    "utc_clock",
+    "utc_instant",
     "whole_seconds",
 ]

@@ -46,3 +46,13 @@ def duration_columns(start: Column, end: Column) -> list[Column]:
 
 def next_month(month: Column, steps=1) -> Column:
     return F.add_months(month, steps)
+
+
+def utc_instant(clock: Column) -> Column:
+    """The instant of a zone-less UTC time, whatever the session's zone is."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), clock).cast("timestamp")
+
+
+def utc_clock(moment: Column) -> Column:
+    """The zone-less UTC time of an instant, whatever the session's zone is."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))

@@ -7,11 +7,10 @@ distinct column. Where that matters the operators aggregate by the value first
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hiatus.functions import utc_clock, utc_instant
 from hiatus.sources import parse_start
 
 _ROW_LISTING = ("user_id", "started_at", "artist_id", "artist_name", "track_id", "track_name")
@@ -49,7 +48,7 @@ def raw_quality(raw: DataFrame) -> DataFrame:
 
 def date_coverage(events: DataFrame) -> DataFrame:
     """One row: events, time bounds, distinct years and months."""
-    per_month = events.groupBy(F.date_trunc("month", "started_at").alias("month")).agg(
+    per_month = events.groupBy(F.trunc(utc_clock(F.col("started_at")).cast("date"), "month").alias("month")).agg(
         F.count(F.lit(1)).alias("plays"),
         F.min("started_at").alias("first_play"),
         F.max("started_at").alias("last_play"),
@@ -64,43 +63,43 @@ def date_coverage(events: DataFrame) -> DataFrame:
 
 
 def plays_per_year(events: DataFrame) -> DataFrame:
-    counts = events.groupBy(F.year("started_at").alias("year"))
+    counts = events.groupBy(F.year(utc_clock(F.col("started_at"))).alias("year"))
     return counts.agg(F.count(F.lit(1)).alias("play_count")).orderBy("year")
 
 
 def plays_per_month(events: DataFrame) -> DataFrame:
-    counts = events.groupBy(F.date_trunc("month", "started_at").alias("month_start"))
+    counts = events.groupBy(_month_start().alias("month_start"))
     return counts.agg(F.count(F.lit(1)).alias("play_count")).orderBy("month_start")
 
 
+def _month_start():
+    """First instant of the UTC month, as a time."""
+    month = F.date_trunc("month", utc_clock(F.col("started_at")))
+    return utc_instant(month)
+
+
 def missing_profile(events: DataFrame) -> DataFrame:
     """One row: events, missing and distinct values of the id and name columns.
 
-    Each column is counted by value in its own scan, which from Parquet reads
-    that column alone.
+    The events are read once: every row gives a (column, value) pair for each
+    column, and pairs are counted before they are shuffled.
     """
     columns = ("artist_id", "track_id", "artist_name", "track_name")
-
-    def counted(column: str) -> DataFrame:
-        by_value = events.groupBy(F.col(column).alias("value")).agg(
-            F.count(F.lit(1)).alias("rows")
-        )
-        return by_value.agg(
-            F.lit(column).alias("column"),
-            F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("rows"),
-            F.coalesce(
-                F.sum(F.when(F.col("value").isNull(), F.col("rows"))), F.lit(0).cast("long")
-            ).alias("missing"),
-            F.count("value").alias("distinct"),
-        )
-
-    stacked = reduce(DataFrame.unionByName, map(counted, columns))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])
+    by_value = (
+        events.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    )
+    stacked = by_value.groupBy("column").agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("rows")).otherwise(0)).alias("missing"),
+        F.count("value").alias("distinct"),
+    )
 
     def of(column: str, measure: str):
-        return F.max(F.when(F.col("column") == column, F.col(measure)))
+        return F.coalesce(F.max(F.when(F.col("column") == column, F.col(measure))), F.lit(0))
 
     return stacked.agg(
-        F.max("rows").alias("total_rows"),
+        F.coalesce(F.max("rows"), F.lit(0)).alias("total_rows"),
         *[of(c, "missing").alias(f"null_{c}_rows") for c in columns],
         *[of(c, "distinct").alias(f"distinct_{c}s") for c in columns],
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hiatus.functions import slice_start
+from hiatus.operators.sessions import session_table
 
 # Up to this many ranked sessions are broadcast; longer lists are joined by shuffle.
 BROADCAST_SESSIONS = 1_000
@@ -31,13 +32,13 @@ def _song_order() -> list[Column]:
 
 
 def top_sessions(sessions: DataFrame, count: int = 50) -> DataFrame:
-    """Sessions with the most tracks."""
-    return sessions.orderBy(*_session_order()).limit(count)
+    """Sessions with the most tracks, from a session table or from session rows."""
+    return session_table(sessions).orderBy(*_session_order()).limit(count)
 
 
 def top_users(sessions: DataFrame, count: int = 10) -> DataFrame:
-    """Users with the most sessions."""
-    per_user = sessions.groupBy("user_id").agg(
+    """Users with the most sessions, from a session table or from session rows."""
+    per_user = session_table(sessions).groupBy("user_id").agg(
         F.count(F.lit(1)).alias("session_count"),
         F.min("session_start").alias("first_session_start"),
         F.max("session_end").alias("last_session_end"),

@@ -70,8 +70,8 @@ def fit_models(
     return packed.withColumns(
         {
             "is_validated": validated,
-            "validation_train_rows": F.coalesce(
-                F.size(training).cast("long"), F.col("model_rows")
+            "validation_train_rows": F.when(validated, F.col("model_rows") - holdout).otherwise(
+                F.col("model_rows")
             ),
             "coefficients": _solve(F.col("months")),
             "holdout_coefficients": _solve(training),
@@ -80,14 +80,21 @@ def fit_models(
 
 
 def model_coefficients(models: DataFrame) -> DataFrame:
-    """Long table of coefficients, intercept first."""
+    """Long table of coefficients, intercept first.
+
+    The constant list of terms is exploded, not the solution: a condition on the
+    exploded array would be pushed below it and solve every system again.
+    """
     return models.select(
-        "user_id", "metric_name", F.posexplode("coefficients").alias("position", "coefficient")
+        "user_id",
+        "metric_name",
+        "coefficients",
+        F.posexplode(F.array(*map(F.lit, TERMS))).alias("position", "feature_name"),
     ).select(
         "user_id",
         "metric_name",
-        F.element_at(F.array(*map(F.lit, TERMS)), F.col("position") + 1).alias("feature_name"),
-        "coefficient",
+        "feature_name",
+        F.col("coefficients")[F.col("position")].alias("coefficient"),
     )
 
 

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hiatus.functions import next_month
+from hiatus.functions import next_month, utc_clock
 from hiatus.schema import FEATURES, SERIES_METRICS
 
 HOLDOUT_MONTHS = 6
@@ -25,7 +25,7 @@ def check_metric(metric: str) -> str:
 
 def monthly_metrics(sessions: DataFrame) -> DataFrame:
     """Sessions and their average minutes per user and month of session start."""
-    month = F.date_trunc("month", "session_start").cast("date")
+    month = F.trunc(utc_clock(F.col("session_start")).cast("date"), "month")
     return sessions.groupBy("user_id", month.alias("month_start")).agg(
         F.count(F.lit(1)).alias("session_count"),
         F.avg("session_duration_minutes").alias("avg_session_duration_minutes"),

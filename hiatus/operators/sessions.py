@@ -75,15 +75,28 @@ def summarize_events(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES
 
 
 def summarize_sessionized(sessionized: DataFrame) -> DataFrame:
-    """The same table as :func:`summarize_events`, from event rows that carry a session id."""
-    grouped = sessionized.groupBy("user_id", "session_id", "session_number").agg(
+    """The same table as :func:`summarize_events`, from event rows that carry a session id.
+
+    Rows without ``session_number`` get their sessions numbered per user by start.
+    """
+    numbered = "session_number" in sessionized.columns
+    keys = ("user_id", "session_id", *(["session_number"] if numbered else []))
+    grouped = sessionized.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("track_count"),
         F.min("started_at").alias("session_start"),
         F.max("started_at").alias("session_end"),
     )
+    if not numbered:
+        order = Window.partitionBy("user_id").orderBy("session_start", "session_id")
+        grouped = grouped.withColumn("session_number", F.row_number().over(order).cast("long"))
     return _with_duration(grouped)
 
 
+def session_table(sessions: DataFrame) -> DataFrame:
+    """A session table as it is, or that of event rows which carry a session id."""
+    return sessions if "track_count" in sessions.columns else summarize_sessionized(sessions)
+
+
 def sessionize(
     events: DataFrame,
     gap_minutes: float = DEFAULT_GAP_MINUTES,

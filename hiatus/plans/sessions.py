@@ -68,8 +68,9 @@ def prepare(
     partitions: int | None = None,
     with_rows: bool = False,
     tie_break: Sequence[str] = (),
+    quote: str | None = None,
 ) -> SessionFrames:
     """Load (and stage) events and materialise their session table."""
-    events = load_events(spark, tsv_path, staged_path, refresh=refresh, partitions=partitions)
+    events = load_events(spark, tsv_path, staged_path, refresh=refresh, partitions=partitions, quote=quote)
     rows = sessionize(events, gap_minutes, tie_break) if with_rows else None
     return SessionFrames(events, materialize(summarize_events(events, gap_minutes)), rows)

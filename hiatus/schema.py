@@ -19,7 +19,7 @@ RAW_EVENTS = T.StructType(
 )
 
 # Fixed value: whole-second UTC timestamps with a literal Z.
-TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ssX"
 
 EVENT_COLUMNS = (
     "user_id",

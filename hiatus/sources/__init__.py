@@ -1,21 +1,27 @@
-from hiatus.sources.delimited import normalize_events, parse_start, read_raw_tsv, read_tsv, write_tsv
+from hiatus.sources.delimited import (
+    normalize_events,
+    parse_start,
+    read_export,
+    read_raw_tsv,
+    read_tsv,
+    write_tsv,
+)
 from hiatus.sources.staged import (
     load_events,
     read_staged,
     stage_events,
     staged_exists,
-    suggest_partitions,
 )
 
 __all__ = [
     "load_events",
     "normalize_events",
     "parse_start",
+    "read_export",
     "read_raw_tsv",
     "read_staged",
     "read_tsv",
     "stage_events",
     "staged_exists",
-    "suggest_partitions",
     "write_tsv",
 ]

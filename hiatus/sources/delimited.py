@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hiatus.schema import EVENT_COLUMNS, RAW_EVENTS, TIMESTAMP_PATTERN
 
+# Both directions: nothing is trimmed, and times have all six digits.
+_EXPORT = {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "charToEscapeQuoteEscaping": "\\",
+}
+
 
 def read_raw_tsv(spark: SparkSession, path: str, quote: str | None = None) -> DataFrame:
     """Headerless TSV with the fixed schema; nothing is inferred.
@@ -21,8 +31,11 @@ def read_raw_tsv(spark: SparkSession, path: str, quote: str | None = None) -> Da
 
 
 def parse_start(raw: Column) -> Column:
-    """Event time, or null where the text does not follow the pattern."""
-    return F.try_to_timestamp(raw, F.lit(TIMESTAMP_PATTERN))
+    """Event time, or null where the text does not follow the pattern.
+
+    The closing Z is read as the UTC zone, whatever the session's zone is.
+    """
+    return F.when(raw.endswith("Z"), F.try_to_timestamp(raw, F.lit(TIMESTAMP_PATTERN)))
 
 
 def normalize_events(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -48,6 +61,8 @@ def write_tsv(
 ) -> str:
     """Write a result as TSV files under ``path``.
 
+    Texts keep their spaces and times their microseconds; :func:`read_export`
+    gives the same rows back. An empty text is written as ``""``, a null as nothing.
     Top-k results already sit in one partition and keep their order. Set
     ``single_file`` only for results whose size a limit bounds; everything
     else is written in parallel.
@@ -57,7 +72,15 @@ def write_tsv(
         frame.write.mode("overwrite")
         .option("sep", "\t")
         .option("header", header)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+        .options(**_EXPORT)
         .csv(str(path))
     )
     return str(path)
+
+
+def read_export(
+    spark: SparkSession, path: str, schema: T.StructType | str, *, header: bool = True
+) -> DataFrame:
+    """The rows that :func:`write_tsv` wrote; empty texts come back as null."""
+    reader = spark.read.schema(schema).option("sep", "\t").option("header", header)
+    return reader.options(**_EXPORT).option("multiLine", True).csv(str(path))

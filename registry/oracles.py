@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.queries import DECIMALS, MANY_SESSIONS, ORDER_GAP, PLAY_GAP
+from registry.queries import DECIMALS, GIVEN_USER, MANY_SESSIONS, ORDER_GAP, PLAY_GAP
 
 FEATURES = ("time_index", "month_sin", "month_cos", "lag_1", "lag_2", "lag_3")
 TERMS = ("intercept", *FEATURES, "rolling_mean_3")
@@ -414,6 +414,27 @@ ORACLES: dict[str, str] = {
     ),
     "parquet_stage_roundtrip": sql(PLAYS, f"SELECT {EVENT}, event_id FROM plays"),
     "tsv_roundtrip": sql(NORMALIZED, f"SELECT {EVENT} FROM normalized"),
+    "tsv_export_sessions": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
+    "tsv_export_texts": sql(
+        PLAYS, "SELECT event_id, '  \"a\"' || chr(9) || artist_name || ' ' AS artist_name, started_at FROM plays"
+    ),
+    "parquet_folder_load": sql(PLAYS, f"SELECT {EVENT}, event_id FROM plays"),
+    "prepared_sessions": sql(
+        NORMALIZED
+        + ", timed AS (SELECT *, row_number() OVER () AS event_id FROM normalized)"
+        + sessionized("timed", PLAY_GAP),
+        f"SELECT {SESSION} FROM sessions",
+    ),
+    "session_summary_unnumbered": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
+    "top_songs_session_join_many": sql(PLAY_SESSIONS, top_songs(MANY_SESSIONS)),
+    "top_songs_from_rows": sql(PLAY_SESSIONS, top_songs(50)),
+    "top_sessions_from_rows": sql(PLAY_SESSIONS, top_sessions(50)),
+    "top_users_from_rows": sql(PLAY_SESSIONS, top_users(10)),
+    "first_events_of_given_user": sql(
+        PLAYS,
+        f"SELECT {EVENT}, event_id FROM plays WHERE user_id = {GIVEN_USER} ORDER BY started_at, event_id LIMIT 40",
+    ),
+    "forecast_given_users": sql(full_fit() + forecast(), SHOWN_FORECAST + " WHERE user_id < 5"),
     "sessionized_events": sql(PLAY_SESSIONS, f"SELECT {SESSIONIZED} FROM sessionized"),
     "session_summary_rows": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
     "session_summary_window": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),

@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 from hiatus.operators import identity, profile, ranking, regression, series
 from hiatus.operators.sessions import sessionize, summarize_events, summarize_sessionized
 from hiatus.plans import forecast as forecasts
-from hiatus.plans.sessions import top_songs_in_top_sessions
+from hiatus.plans.sessions import prepare, top_songs_in_top_sessions
 from hiatus.sources import (
+    load_events,
     normalize_events,
+    read_export,
     read_staged,
     read_tsv,
     stage_events,
@@ -30,6 +32,7 @@ ORDER_GAP = 1440
 DECIMALS = 6
 # More sessions than are broadcast, so the join on time slices runs.
 MANY_SESSIONS = 2_000
+GIVEN_USER = 3
 
 QUERIES: dict[str, Query] = {}
 
@@ -116,9 +119,44 @@ def tsv_roundtrip(spark, sf_dir):
     return read_tsv(spark, path)
 
 
+@query
+def tsv_export_sessions(spark, sf_dir):
+    sessions = _play_sessions(spark, sf_dir)
+    path = write_tsv(sessions, scratch_path(spark, "sessions"))
+    return read_export(spark, path, sessions.schema)
+
+
+@query
+def tsv_export_texts(spark, sf_dir):
+    """Names with spaces at both ends, quotes and tabs, and times in microseconds."""
+    padded = F.concat(F.lit('  "a"\t'), "artist_name", F.lit(" "))
+    texts = fixtures.plays(spark, sf_dir).select("event_id", padded.alias("artist_name"), "started_at")
+    path = write_tsv(texts, scratch_path(spark, "texts"), header=False)
+    return read_export(spark, path, texts.schema, header=False)
+
+
+@query
+def parquet_folder_load(spark, sf_dir):
+    path = scratch_path(spark, "events")
+    stage_events(fixtures.plays(spark, sf_dir), path)
+    return load_events(spark, path)
+
+
+@query
+def prepared_sessions(spark, sf_dir):
+    """Export, load, stage and materialise, as one call."""
+    path = write_tsv(fixtures.raw_plays(spark, sf_dir), scratch_path(spark, "raw"), header=False)
+    return prepare(spark, path, scratch_path(spark, "staged"), PLAY_GAP).sessions
+
+
 # Sessions
 
 
+@query
+def session_summary_unnumbered(spark, sf_dir):
+    return summarize_sessionized(_play_rows(spark, sf_dir).drop("session_number"))
+
+
 @query
 def sessionized_events(spark, sf_dir):
     return _play_rows(spark, sf_dir)
@@ -173,6 +211,28 @@ def top_songs_session_join(spark, sf_dir):
     return top_songs_in_top_sessions(_play_rows(spark, sf_dir), _play_sessions(spark, sf_dir))
 
 
+@query
+def top_songs_session_join_many(spark, sf_dir):
+    return top_songs_in_top_sessions(
+        _play_rows(spark, sf_dir), _play_sessions(spark, sf_dir), session_count=MANY_SESSIONS
+    )
+
+
+@query
+def top_songs_from_rows(spark, sf_dir):
+    return top_songs_in_top_sessions(_play_rows(spark, sf_dir))
+
+
+@query
+def top_sessions_from_rows(spark, sf_dir):
+    return ranking.top_sessions(_play_rows(spark, sf_dir))
+
+
+@query
+def top_users_from_rows(spark, sf_dir):
+    return ranking.top_users(_play_rows(spark, sf_dir))
+
+
 @query
 def top_songs_many_sessions(spark, sf_dir):
     events = fixtures.plays(spark, sf_dir)
@@ -215,6 +275,11 @@ def first_events_of_user(spark, sf_dir):
     )
 
 
+@query
+def first_events_of_given_user(spark, sf_dir):
+    return ranking.first_events(fixtures.plays(spark, sf_dir), GIVEN_USER, tie_break=["event_id"])
+
+
 @query
 def first_events_sessionized(spark, sf_dir):
     events = fixtures.plays(spark, sf_dir)
@@ -407,6 +472,12 @@ def forecast_without_refit(spark, sf_dir):
     return _forecast(spark, sf_dir, refit=False).forecast
 
 
+@query
+def forecast_given_users(spark, sf_dir):
+    users = fixtures.nation_orders(spark, sf_dir).where(F.col("user_id") < 5).select("user_id").distinct()
+    return _forecast(spark, sf_dir, users=users).forecast
+
+
 @query
 def forecast_top(spark, sf_dir):
     return forecasts.forecast_top_user(_order_sessions(spark, sf_dir)).forecast

@@ -6,18 +6,20 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from hiatus.operators import profile
 from hiatus.operators.sessions import summarize_events
 from hiatus.plans.sessions import materialize, prepare
 from hiatus.schema import EVENT_COLUMNS
 from hiatus.sources import (
     load_events,
     normalize_events,
+    parse_start,
+    read_export,
     read_raw_tsv,
     read_staged,
     read_tsv,
     stage_events,
     staged_exists,
-    suggest_partitions,
     write_tsv,
 )
 
@@ -164,21 +166,6 @@ def test_materialize_returns_the_same_rows(spark, tmp_path):
     kept.unpersist()
 
 
-@pytest.mark.parametrize(
-    "options, expected",
-    [
-        ({}, 64),
-        ({"min_partitions": 1}, 32),
-        ({"multiplier": 100}, 512),
-        ({"multiplier": 1, "min_partitions": 4, "max_partitions": 6}, 6),
-        ({"min_partitions": 600}, 600),
-    ],
-)
-def test_partition_rule(spark, options, expected):
-    assert spark.sparkContext.defaultParallelism == 8
-    assert suggest_partitions(spark, **options) == expected
-
-
 def test_tsv_export_layout(spark, events, tmp_path):
     frame = events(("u", "2024-03-01 10:00:00", "A", "x", None))
     path = write_tsv(
@@ -187,4 +174,36 @@ def test_tsv_export_layout(spark, events, tmp_path):
     [file] = glob.glob(f"{path}/*.csv")
     with open(file, encoding="utf-8") as lines:
         rows = list(csv.reader(lines, delimiter="\t"))
-    assert rows == [["user_id", "started_at", "track_id"], ["u", "2024-03-01 10:00:00", ""]]
+    assert rows == [["user_id", "started_at", "track_id"], ["u", "2024-03-01 10:00:00.000000", ""]]
+
+
+def test_export_round_trip_keeps_texts_and_times(spark, tmp_path):
+    texts = ["a", " a ", "  lead", 'say "x"', '"', "back\\slash", 'end\\"', "tab\there", "line\nbreak", None]
+    frame = spark.createDataFrame(
+        [(i, t) for i, t in enumerate(texts)], "n int, text string"
+    ).selectExpr("n", "text", "timestamp_micros(1700000000123456 + n) AS moment")
+    path = write_tsv(frame, str(tmp_path / "out"))
+    back = read_export(spark, path, frame.schema)
+    assert sorted(back.collect()) == sorted(frame.collect(), key=lambda r: r.n)
+    empty = write_tsv(spark.createDataFrame([(1, "")], "n int, text string"), str(tmp_path / "empty"))
+    assert read_export(spark, empty, "n int, text string").first().text is None
+
+
+def test_instants_do_not_depend_on_the_session_zone(spark, tmp_path):
+    raw = spark.createDataFrame([("2020-01-01T00:00:00Z",), ("2020-01-01T00:00:00+01",), ("bad",)], "t string")
+    stamps = spark.sql("SELECT TIMESTAMP_NTZ '2020-02-01 00:00:00' AS started_at")
+    path = str(tmp_path / "ntz")
+    stamps.write.parquet(path)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        seconds = [r[0] for r in raw.select(F.unix_seconds(parse_start(F.col("t")))).collect()]
+        staged = read_staged(spark, path)
+        assert seconds == [1577836800, None, None]
+        assert staged.select(F.unix_seconds("started_at")).first()[0] == 1580515200
+        assert profile.plays_per_year(staged).first().year == 2020
+        coverage = profile.date_coverage(staged).first()
+        assert (coverage.distinct_years, coverage.distinct_months) == (1, 1)
+        month = profile.plays_per_month(staged).select(F.unix_seconds("month_start")).first()[0]
+        assert month == 1580515200
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
