@@ -7,9 +7,6 @@ of ``documents``; the last adds the copy's number and its place in the mixture.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,19 +39,14 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     document stays, also one with nothing left; untouched texts stay as they are.
     """
 
-    @F.pandas_udf("string")
-    def whole_characters(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(lambda x: x.decode("utf-8", "ignore"))
-
-    cut = remove_repeats(docs.select(*COLUMNS))
-    text = F.when(F.col("n_removed") > 0, whole_characters("kept")).otherwise(F.col("text"))
-    return (
-        cut.withColumn("_cut", F.col("n_removed") > 0)
-        .withColumn("text", text)
-        .withColumn("n_chars", F.when(F.col("_cut"), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-        .select(*COLUMNS)
-    )
+    cut = remove_repeats(docs.select(*COLUMNS), whole_characters=True).withColumn("_cut", F.col("n_removed") > 0)
+    left = F.col("kept").cast("string")
+    return cut.withColumns(
+        {
+            "text": F.when(F.col("_cut"), left).otherwise(F.col("text")),
+            "n_chars": F.when(F.col("_cut"), F.char_length(left).cast("long")).otherwise(F.col("n_chars")),
+        }
+    ).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

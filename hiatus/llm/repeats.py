@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -342,15 +341,19 @@ def cut_spans(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes,
     return b"".join([text[a:b] for a, b in edges]), len(starts)
 
 
-def remove_repeats(documents: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(
+    documents: DataFrame, text: str = "text", length: int = LENGTH, whole_characters: bool = False
+) -> DataFrame:
     """Every document with the bytes left after removing repeated strings.
 
     A byte goes when a string of ``length`` bytes that covers it also starts
     anywhere else, in the same text or another; this is judged on the input.
     Adds ``kept`` (binary), ``n_bytes``, ``n_removed`` and ``n_spans`` (runs of
-    removed bytes), replacing columns of these names. A null text counts as empty;
-    texts shorter than ``length`` lose nothing. Repeated rows repeat each other and
-    each gets the same result. No rows give no rows.
+    removed bytes), replacing columns of these names. With ``whole_characters``
+    what is left of a character that a cut went through goes from ``kept`` too,
+    which then is UTF-8 again. A null text counts as empty; texts shorter than
+    ``length`` lose nothing. Repeated rows repeat each other and each gets the
+    same result. No rows give no rows.
     """
     ours = ("kept", "n_bytes", "n_removed", "n_spans")
     base = documents.drop(*[c for c in ours if c != text])
@@ -358,31 +361,35 @@ def remove_repeats(documents: DataFrame, text: str = "text", length: int = LENGT
     keyed = base.withColumn(key, F.unhex(F.md5(text_bytes(text))))
     spans = written(repeated_spans(keyed, key, text, length), "spans")
 
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, lists in batches:
-            rows = []
-            for content, places in zip(texts, lists):
-                if places is None or len(places) == 0:
-                    rows.append((content, 0))
-                else:
-                    rows.append(
-                        cut_spans(
-                            content,
-                            np.array([x["start"] for x in places], dtype=np.int64),
-                            np.array([x["end"] for x in places], dtype=np.int64),
-                        )
-                    )
-            yield pd.DataFrame(rows, columns=["kept", "n_spans"])
-
-    result = F.pandas_udf(cut, "kept binary, n_spans long")
-    joined = keyed.join(spans.select(F.col("key").alias(key), F.col("spans").alias(f"{key}_s")), key, "left")
-    size = F.octet_length(text_bytes(text)).cast("long")
-    out = joined.withColumn(f"{key}_r", result(text_bytes(text), F.col(f"{key}_s")))
-    left = F.col(f"{key}_r.kept")
+    @F.arrow_udf("kept binary, n_removed long, n_spans long")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, starts, ends in batches:
+            left, removed, runs_cut = [], [], []
+            for content, start, end in zip(texts, starts, ends):
+                whole = content.as_py()
+                kept, count = whole, 0
+                if start.is_valid and len(start):
+                    kept, count = cut_spans(whole, start.values.to_numpy(), end.values.to_numpy())
+                removed.append(len(whole) - len(kept))
+                runs_cut.append(count)
+                left.append(kept.decode("utf-8", "ignore").encode() if count and whole_characters else kept)
+            yield pa.StructArray.from_arrays(
+                [pa.array(left, pa.binary()), pa.array(removed, pa.int64()), pa.array(runs_cut, pa.int64())],
+                names=["kept", "n_removed", "n_spans"],
+            )
+
+    joined = keyed.join(
+        spans.select(
+            F.col("key").alias(key), F.col("spans.start").alias(f"{key}_s"), F.col("spans.end").alias(f"{key}_e")
+        ),
+        key,
+        "left",
+    )
+    out = joined.withColumn(f"{key}_r", cut(text_bytes(text), F.col(f"{key}_s"), F.col(f"{key}_e")))
     return out.select(
-        *[c for c in base.columns],
-        left.alias("kept"),
-        size.alias("n_bytes"),
-        (size - F.octet_length(left)).alias("n_removed"),
+        *base.columns,
+        F.col(f"{key}_r.kept").alias("kept"),
+        F.octet_length(text_bytes(text)).cast("long").alias("n_bytes"),
+        F.col(f"{key}_r.n_removed").alias("n_removed"),
         F.col(f"{key}_r.n_spans").alias("n_spans"),
     )
