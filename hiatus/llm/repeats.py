@@ -216,7 +216,13 @@ def _small(values: np.ndarray) -> pa.Array:
 
 
 def _cells(contexts: DataFrame, length: int, size: int) -> DataFrame:
-    """The cells of each run, with hashes of their common and their whole content."""
+    """The cells of each run, with hashes of their common and their whole content.
+
+    Hashes cover the whole width of a cell. ``low`` and ``high`` are the strings of
+    the run in it, the same ones in cells of equal content, since a string's anchor
+    depends on its own bytes. So every string of a text is looked at once, also
+    where an anchor comes back a few bytes further on.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
@@ -236,6 +242,8 @@ def _cells(contexts: DataFrame, length: int, size: int) -> DataFrame:
                 whole = _cut_digests(contents, rows, inner_low - base, inner_high + length - base, 4)
                 # cells cut short by a text's ends equal only cells that are cut alike
                 whole ^= (inner_low - low) ^ ((high - inner_high) << 16)
+                # strings beyond the run have another anchor and are judged in their own run
+                inner_low, inner_high = np.maximum(low, first[rows]), np.minimum(high, last[rows])
                 take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(n).take(take) for n in ("key", "anchor", "whole", "single")]
@@ -331,14 +339,14 @@ def repeated_spans(documents: DataFrame, key: str, text: str = "text", length: i
     return spans.distinct().groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
-def cut_spans(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, int]:
-    """What is left of a text without the spans, and how many runs they make."""
+def cut_spans(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], int]:
+    """The pieces left of a text without the spans, and how many runs they make."""
     order = np.argsort(starts, kind="stable")
     starts, reach = starts[order], np.maximum.accumulate(ends[order])
     opens = np.concatenate([[True], starts[1:] > reach[:-1]])
     starts, ends = starts[opens], reach[np.concatenate([opens[1:], [True]])]
     edges = zip([0, *ends.tolist()], [*starts.tolist(), len(text)])
-    return b"".join([text[a:b] for a, b in edges]), len(starts)
+    return [text[a:b] for a, b in edges], len(starts)
 
 
 def remove_repeats(
@@ -367,12 +375,14 @@ def remove_repeats(
             left, removed, runs_cut = [], [], []
             for content, start, end in zip(texts, starts, ends):
                 whole = content.as_py()
-                kept, count = whole, 0
+                pieces, count = [whole], 0
                 if start.is_valid and len(start):
-                    kept, count = cut_spans(whole, start.values.to_numpy(), end.values.to_numpy())
-                removed.append(len(whole) - len(kept))
+                    pieces, count = cut_spans(whole, start.values.to_numpy(), end.values.to_numpy())
+                removed.append(len(whole) - sum(map(len, pieces)))
                 runs_cut.append(count)
-                left.append(kept.decode("utf-8", "ignore").encode() if count and whole_characters else kept)
+                if count and whole_characters:  # piece by piece: halves of two characters would make a third
+                    pieces = [x.decode("utf-8", "ignore").encode() for x in pieces]
+                left.append(b"".join(pieces))
             yield pa.StructArray.from_arrays(
                 [pa.array(left, pa.binary()), pa.array(removed, pa.int64()), pa.array(runs_cut, pa.int64())],
                 names=["kept", "n_removed", "n_spans"],

@@ -77,6 +77,22 @@ def test_a_passage_in_many_different_surroundings(spark):
     assert found(spark, texts, 200) == brute(texts, 200)
 
 
+def test_periodic_passages_in_other_surroundings(spark):
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choice("ijklmnop ") for _ in range(n))
+    texts = [noise(rng.randint(0, 90)) + "abcdefg"[:period] * (400 // period) + noise(rng.randint(0, 90)) for period in range(1, 8) for _ in range(4)]
+    assert found(spark, texts, 200) == brute(texts, 200)
+    assert found(spark, texts, 60) == brute(texts, 60)
+
+
+def test_whole_characters_are_judged_piece_by_piece(spark):
+    passage = "".join(chr(97 + i * i % 23) for i in range(300))
+    texts = ["1©" + passage + "éx", "2é" + passage + "èy"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = remove_repeats(frame, whole_characters=True).orderBy("doc_id").collect()
+    assert [bytes(r.kept).decode() for r in rows] == ["1x", "2y"]
+
+
 def test_nulls_empty_texts_and_copies(spark):
     long = "".join(chr(97 + i * i % 23) for i in range(5000)) * 3
     texts = [None, "", "short", "x" * 200, long, long[7:], "short"]
@@ -100,4 +116,4 @@ def test_empty_table_and_clashing_columns(spark):
 
 
 def test_spans_merge_when_they_touch():
-    assert cut_spans(b"0123456789", np.array([6, 0, 2]), np.array([8, 2, 4])) == (b"4589", 2)
+    assert cut_spans(b"0123456789", np.array([6, 0, 2]), np.array([8, 2, 4])) == ([b"", b"45", b"89"], 2)
