@@ -103,17 +103,15 @@ def fit(places, rows, extra, target, use, rounds: int = ROUNDS) -> np.ndarray:
     return weights
 
 
-def fit_chain(texts: list[bytes], targets: np.ndarray) -> np.ndarray:
+def fit_chain(held_features: list[np.ndarray], fold: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Weights of each category's model, one row each, zero-padded.
 
     A category's model sees the probabilities of the categories before it. In
     training these come from models that have not seen the row (out of fold), as
     they will when the chain is applied.
     """
-    features = Features()
-    places, rows = _flat([features.of(x) for x in texts])
+    places, rows = _flat(held_features)
     count, categories = targets.shape
-    fold = np.array([xxhash.xxh32_intdigest(x, 3) % FOLDS for x in texts], dtype=np.int64)
     extra = np.zeros((count, 0))
     chain = np.zeros((categories, FEATURES + categories))
     for category in range(categories):
@@ -149,7 +147,9 @@ def train(documents: DataFrame, labels: DataFrame, categories: Sequence[str], te
     """Fits the chain in one task on at most ``most`` labelled documents.
 
     Ids are drawn by their hash; a document's label is 1 if any of its label rows
-    says so. Returns None without labelled documents.
+    says so. Rows that share an id count once, with the smallest text, combined
+    before the shuffle. The fitting task receives the numbers of distinct features
+    alone, never texts. Returns None without labelled documents.
     """
     labelled = (
         labels.where(F.col(ident).isNotNull())
@@ -157,16 +157,43 @@ def train(documents: DataFrame, labels: DataFrame, categories: Sequence[str], te
         .agg(*[F.max(F.coalesce(F.col(c).cast("int"), F.lit(0))).alias(c) for c in categories])
     )
     chosen = labelled.orderBy(F.xxhash64(F.col("_id"), F.lit(5)), "_id").limit(most)
-    sample = documents.select(F.col(ident).alias("_id"), text_bytes(text).alias("_text")).join(
-        F.broadcast(chosen), "_id"
+    names = list(categories)
+    sample = (
+        documents.select(F.col(ident).alias("_id"), text_bytes(text).alias("_text"))
+        .join(F.broadcast(chosen), "_id")
+        .groupBy("_id")
+        .agg(F.min("_text").alias("_text"), *[F.max(c).alias(c) for c in names])
     )
 
+    def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        features = Features()
+        for batch in batches:
+            yield pd.DataFrame(
+                {
+                    "order": batch["_id"],
+                    "fold": [xxhash.xxh32_intdigest(x, 3) % FOLDS for x in batch["_text"]],
+                    "features": [features.of(x).astype(np.int32) for x in batch["_text"]],
+                    "targets": list(batch[names].to_numpy(dtype=np.int32)),
+                }
+            )
+
     def fitted(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["_id", "_text"]).head(most)
-        chain = fit_chain(list(group["_text"]), group[list(categories)].to_numpy())
+        group = group.sort_values("order")
+        chain = fit_chain(
+            [np.asarray(x, dtype=np.int64) for x in group["features"]],
+            group["fold"].to_numpy(),
+            np.stack(group["targets"].to_list()),
+        )
         return pd.DataFrame({"chain": [chain.astype(np.float64).tobytes()]})
 
-    rows = sample.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(fitted, "chain binary").collect()
+    kind = sample.schema["_id"].dataType.simpleString()
+    rows = (
+        sample.mapInPandas(featured, f"order {kind}, fold int, features array<int>, targets array<int>")
+        .withColumn("_all", F.lit(1))
+        .groupBy("_all")
+        .applyInPandas(fitted, "chain binary")
+        .collect()
+    )
     if not rows:
         return None
     return np.frombuffer(rows[0].chain, dtype=np.float64).reshape(len(categories), -1)
