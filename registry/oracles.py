@@ -436,6 +436,7 @@ ORACLES: dict[str, str] = {
     ),
     "forecast_given_users": sql(full_fit() + forecast(), SHOWN_FORECAST + " WHERE user_id < 5"),
     "sessionized_events": sql(PLAY_SESSIONS, f"SELECT {SESSIONIZED} FROM sessionized"),
+    "sessionized_events_hot": sql(PLAY_SESSIONS, f"SELECT {SESSIONIZED} FROM sessionized"),
     "session_summary_rows": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
     "session_summary_window": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
     "session_boundary_inclusive": sql(ORDER_SESSIONS, f"SELECT {SESSION} FROM sessions"),
