@@ -81,7 +81,7 @@ nation_orders AS (
 )"""
 
 
-def sessionized(source: str, gap_minutes: int) -> str:
+def sessionized(source: str, gap_minutes: float) -> str:
     """Row-level sessions of ``source``, by windows over all of a user's events."""
     return f""",
 stepped AS (
@@ -91,7 +91,7 @@ stepped AS (
 ),
 flagged AS (
   SELECT *, CASE WHEN previous_started_at IS NULL
-      OR epoch_us(started_at) - epoch_us(previous_started_at) > {gap_minutes * 60_000_000}
+      OR epoch_us(started_at) - epoch_us(previous_started_at) > {round(gap_minutes * 60_000_000)}
     THEN 1 ELSE 0 END AS is_new_session
   FROM stepped
 ),
@@ -440,6 +440,8 @@ ORACLES: dict[str, str] = {
     "session_summary_rows": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
     "session_summary_window": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
     "session_boundary_inclusive": sql(ORDER_SESSIONS, f"SELECT {SESSION} FROM sessions"),
+    "session_summary_zero_gap": sql(ORDERS + sessionized("nation_orders", 0), f"SELECT {SESSION} FROM sessions"),
+    "session_summary_second_gap": sql(PLAYS + sessionized("plays", 1 / 60), f"SELECT {SESSION} FROM sessions"),
     "session_stats": sql(
         PLAY_SESSIONS,
         f"SELECT count(*) AS total_sessions, {num('avg(track_count)', 'avg_tracks_per_session')}, "

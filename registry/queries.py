@@ -183,6 +183,17 @@ def session_boundary_inclusive(spark, sf_dir):
     return _order_sessions(spark, sf_dir)
 
 
+@query
+def session_summary_zero_gap(spark, sf_dir):
+    """Orders of one instant make a session, all others are alone."""
+    return summarize_events(fixtures.nation_orders(spark, sf_dir), 0)
+
+
+@query
+def session_summary_second_gap(spark, sf_dir):
+    return summarize_events(fixtures.plays(spark, sf_dir), 1 / 60)
+
+
 @query
 def session_stats(spark, sf_dir):
     return profile.session_stats(_play_sessions(spark, sf_dir))
