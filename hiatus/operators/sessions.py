@@ -10,6 +10,11 @@ first event with the last event of the user's previous non-empty slice. A plain
 hash aggregate (combined on the map side) reduces the events to one row per
 (user, slice), and the per-user window then sees at most ``time span / gap``
 rows per user however many events there are: 26,280 a year at 20 minutes.
+
+With gaps so small that nearly every event is a slice of its own, slices are
+numbered inside blocks of 512, blocks inside blocks of 512 blocks, and so on until
+blocks are wide enough for the per-user window. That window's length then
+depends on the time span alone, whatever the gap.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ DEFAULT_GAP_MINUTES = 20
 
 # Rows are numbered in blocks of this many slices.
 SLICES_PER_BLOCK = 512
+# Slices or blocks at least this wide are numbered per user: 262,980 a year at most.
+USER_WINDOW_MICROS = 120_000_000
 # A block with more events than this is cut into cells, this many per slice.
 HOT_BLOCK_ROWS = 5_000_000
 CELLS_PER_SLICE = 32
@@ -49,13 +56,57 @@ def session_slices(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES)
             F.max("started_at").alias("last_event"),
         )
     )
-    in_time = Window.partitionBy("user_id").orderBy("slice_start")
+    return _numbered(slices.withColumn("boundaries", F.lit(0)), max(gap, 1), gap).drop("boundaries")
+
+
+def _numbered(slices: DataFrame, width: int, gap: int) -> DataFrame:
+    """Adds what comes before each (user, slice), and its first event's session number.
+
+    ``boundaries`` are the session starts in a slice other than at its first event.
+    Narrow slices are numbered inside wider blocks, which are numbered in the same
+    way; what precedes a block then completes the numbers of its slices.
+    """
     opens = _opens("first_event", "previous_event", gap)
-    return slices.withColumn("previous_event", F.lag("last_event").over(in_time)).withColumns(
-        {
-            "opens_session": opens,
-            "session_number": F.sum(opens).over(_up_to_here(in_time)),
-        }
+    if width >= USER_WINDOW_MICROS:
+        in_time = Window.partitionBy("user_id").orderBy("slice_start")
+        started = F.sum(opens + F.col("boundaries")).over(_up_to_here(in_time))
+        return slices.withColumn("previous_event", F.lag("last_event").over(in_time)).withColumns(
+            {"opens_session": opens, "session_number": started - F.col("boundaries")}
+        )
+
+    wider = width * SLICES_PER_BLOCK
+    block = F.col("slice_start") - F.pmod("slice_start", F.lit(wider).cast("long"))
+    in_block = Window.partitionBy("user_id", "block").orderBy("slice_start")
+    # The start of a block's first event is counted by the block.
+    later = F.when(F.col("previous_event").isNull(), 0).otherwise(opens)
+    started = F.sum(F.col("opens_session") + F.col("boundaries")).over(_up_to_here(in_block))
+    inside = (
+        slices.withColumn("block", block)
+        .withColumn("previous_event", F.lag("last_event").over(in_block))
+        .withColumn("opens_session", later)
+        .withColumn("session_number", started - F.col("boundaries"))
+    )
+    blocks = inside.groupBy("user_id", F.col("block").alias("slice_start")).agg(
+        F.min("first_event").alias("first_event"),
+        F.max("last_event").alias("last_event"),
+        F.sum(F.col("opens_session") + F.col("boundaries")).alias("boundaries"),
+    )
+    around = _numbered(blocks, wider, gap)
+    same_block = F.col("inside.user_id").eqNullSafe(F.col("around.user_id")) & (
+        F.col("inside.block") == F.col("around.slice_start")
+    )
+    at_edge = F.col("inside.previous_event").isNull()
+    return (
+        inside.alias("inside")
+        .join(around.alias("around"), same_block)
+        .select(
+            *[F.col(f"inside.{name}") for name in slices.columns],
+            F.coalesce("inside.previous_event", "around.previous_event").alias("previous_event"),
+            F.when(at_edge, F.col("around.opens_session"))
+            .otherwise(F.col("inside.opens_session"))
+            .alias("opens_session"),
+            (F.col("around.session_number") + F.col("inside.session_number")).alias("session_number"),
+        )
     )
 
 

@@ -178,6 +178,51 @@ def test_matches_the_builtin_session_window(spark):
     )
 
 
+@pytest.mark.parametrize("gap_seconds", [0, 0.001, 0.25, 1, 60])
+def test_small_gaps_match_brute_force(spark, gap_seconds):
+    """Bursts of microseconds up to pauses of hours, across the blocks of every level."""
+    draw = random.Random(11)
+    clock, rows = {}, []
+    for index in range(600):
+        user = "busy" if draw.random() < 0.7 else draw.choice(["a", None])
+        step = draw.choice([0, 1, 2, 511, 512, 1_000, 250_000, 250_001, 1_000_000, 60_000_000, 9_000_000_000])
+        start = datetime(1969, 12, 31, 20, tzinfo=timezone.utc)
+        clock[user] = clock.get(user, start) + timedelta(microseconds=step)
+        rows.append((index, user, clock[user]))
+    frame = spark.createDataFrame(rows, "event_id long, user_id string, started_at timestamp").repartition(5)
+    expected = {}
+    for index, (_, _, number) in brute_force(rows, gap_seconds).items():
+        user, moment = rows[index][1], rows[index][2].replace(tzinfo=None)
+        expected.setdefault((user, number), []).append(moment)
+    sessions = summarize_events(frame, gap_seconds / 60).select(
+        "user_id",
+        "session_number",
+        "track_count",
+        F.col("session_start").cast("timestamp_ntz"),
+        F.col("session_end").cast("timestamp_ntz"),
+    )
+    assert {(r[0], r[1]): tuple(r[2:]) for r in sessions.collect()} == {
+        key: (len(times), min(times), max(times)) for key, times in expected.items()
+    }
+    numbered = sessionize(frame, gap_seconds / 60, ["event_id"]).select("event_id", "session_number").collect()
+    assert dict(map(tuple, numbered)) == {i: x[2] for i, x in brute_force(rows, gap_seconds).items()}
+
+
+def test_small_gaps_sort_a_user_in_blocks(spark):
+    """Of a user with two thirds of all rows, only blocks of 512 seconds meet in one window."""
+    user = F.when(F.col("id") % 3 == 0, "v").otherwise("u")
+    seconds = F.timestamp_seconds(F.col("id") * 2)
+    frame = spark.range(30_000).select(user.alias("user_id"), seconds.alias("started_at"))
+    result = summarize_events(frame, 1 / 60)
+    assert result.count() == 30_000
+    plan = result._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    windows = [at for at, line in enumerate(plan) if "Window [" in line]
+    per_user = [at for at in windows if "block#" not in plan[at].rsplit("], [", 2)[1]]
+    assert 0 < len(per_user) < len(windows)
+    beneath = next(line for line in plan[per_user[-1] :] if "Aggregate [" in line)
+    assert "block#" in beneath
+
+
 def test_sessions_of_a_user_are_more_than_a_gap_apart(spark):
     from pyspark.sql import Window
 
