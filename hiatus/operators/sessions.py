@@ -179,15 +179,10 @@ def sessionize(
         .join(hot_blocks.alias("hot"), _same_block(), "left")
         .select("rows.*", *[F.col(f"hot.{name}") for name in _BEFORE])
     )
-    # An outer join tested for null, and a test that holds for every row of a hot
-    # block: with all columns in use, every branch reads the same slice shuffle.
     cold_rows = tagged.filter(F.col("sessions_before").isNull()).drop(*_BEFORE)
     cold_blocks = blocks.filter(~is_hot)
     cold = _number_rows(cold_rows, cold_blocks, ["block"], gap, tie_break)
-    follows_history = F.col("previous_event").isNull() | (
-        F.col("previous_event") <= F.col("started_at")
-    )
-    hot_rows = tagged.filter(F.col("sessions_before").isNotNull() & follows_history)
+    hot_rows = tagged.filter(F.col("sessions_before").isNotNull())
     hot = _number_hot_rows(hot_rows, gap, tie_break)
 
     shown = [
