@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hiatus.llm.archives import archived
 from hiatus.llm.decontamination import contamination, hit_words
 from hiatus.llm.embeddings import near_embeddings
+from hiatus.llm.fingerprints import edited_fingerprints
 from hiatus.llm.language_model import score_texts
 from hiatus.llm.licenses import scan_licenses
 from hiatus.llm.mixing import mix
@@ -108,6 +109,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
@@ -119,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_model": op8_language_model,
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
+    "op11_minhash": op11_minhash,
 }
