@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,6 +28,7 @@ PERMUTATIONS, BAND = 128, 4
 BANDS = PERMUTATIONS // BAND
 #: Consecutive documents of about so many bytes are edited in one group.
 GROUP_BYTES = 32 << 20
+MOST_GROUPS = 50_000
 #: Bytes that a row takes beside its text.
 _ROW_BYTES = 64
 #: Pairs whose signatures agree in a share this far below the threshold (more than
@@ -160,77 +163,131 @@ def _facts(one: _Signed, following: _Signed, hashes: MinHash) -> tuple:
     )
 
 
+def _key(ident, digest: bytes) -> tuple:
+    """Sorts like the ids in Spark, nulls first, then like the digests."""
+    return (0, digest) if ident is None else (1, ident, digest)
+
+
+@dataclass(frozen=True)
+class _Order:
+    """Where the groups begin in the order of (id, digest), and which pairs cross their borders.
+
+    All three lists grow with the number of groups alone.
+    """
+
+    starts: list  # the first pair of each group
+    parts: dict  # pairs that repeat beyond a group's size: the parts they are dealt over
+    lent: dict  # pairs that the pair before needs in its own group: (group, parts, whether it is the last pair)
+
+    def deal(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows with their group and part, and lent rows once a task."""
+        turn, done = 0, set()
+        for batch in batches:
+            ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
+            rows, source = [], []
+            for place, (ident, text) in enumerate(zip(ids, texts)):
+                digest = hashlib.md5(text).digest()
+                key = _key(ident, digest)
+                turn += 1
+                rows.append((bisect_right(self.starts, key) - 1, turn % self.parts.get(key, 1), 0, True, digest))
+                source.append(place)
+                if key in self.lent and key not in done:
+                    done.add(key)
+                    group, parts, last = self.lent[key]
+                    rows += [(group, part, int(last), False, digest) for part in range(parts)]
+                    source += [place] * parts
+            for some in range(0, len(rows), 1024):
+                taken = batch.take(pa.array(source[some : some + 1024], pa.int64()))
+                columns = zip(*rows[some : some + 1024])
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values, kind) for values, kind in zip(columns, kinds)] + [taken.column("id"), taken.column("text")],
+                    names=["bucket", "salt", "late", "own", "digest", "id", "text"],
+                )
+
+
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Facts of each own row, once the text at the next seat of its group has come.
+    """Facts of each own row, once the pair that follows in its group has come.
 
     One text is held at a time, with the ids of its copies.
     """
     hashes = MinHash()
     group = seat = held = None
     waiting: list = []
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
 
     for batch in batches:
-        kind = batch.schema.field("id").type
         ids, out = [], []
-        columns = [batch.column(c).to_pylist() for c in ("bucket", "salt", "seat", "own", "id", "text")]
-        for bucket, salt, place, own, ident, text in zip(*columns):
+        columns = [batch.column(c).to_pylist() for c in ("bucket", "salt", "late", "digest", "own", "id", "text")]
+        for bucket, salt, late, digest, own, ident, text in zip(*columns):
             if (bucket, salt) != group:
                 group, seat, held, waiting = (bucket, salt), None, None, []
+            place = (late, ident, digest)
             if place != seat:
                 signed = held if held is not None and held.text == text else _Signed(text, hashes)
                 if waiting:
-                    facts = _facts(held, signed, hashes)
                     ids += waiting
-                    out += [facts] * len(waiting)
+                    out += [_facts(held, signed, hashes)] * len(waiting)
                 seat, held, waiting = place, signed, []
             if own:
                 waiting.append(ident)
         columns = list(zip(*out)) or [()] * len(_RESULT)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, kind)]
-            + [
-                pa.array(values, {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}[f.dataType.simpleString()])
-                for values, f in zip(columns, _RESULT)
-            ],
+            [pa.array(ids, batch.schema.field("id").type)]
+            + [pa.array(values, kinds[f.dataType.simpleString()]) for values, f in zip(columns, _RESULT)],
             names=["id", *_RESULT.names],
         )
 
 
-def _places(texts: DataFrame, group_bytes: int) -> DataFrame:
-    """Where each distinct (id, text) stands in the order of ids.
+def _order(texts: DataFrame, group_bytes: int) -> _Order:
+    """Divides the distinct (id, text) pairs, in the order of ids, into groups of so many bytes.
 
-    ``rank`` counts them from 0. Groups (``bucket``) are runs of ranks of about
-    ``group_bytes``. A pair that repeats beyond that is dealt over ``parts`` parts of
-    its bucket. ``before_*`` describe the pair before; the last one stands before
-    the first.
+    There are ``MOST_GROUPS`` groups at most; beyond that they grow. A pair that repeats
+    beyond a group's size is dealt over parts, of which there are no more than groups.
     """
     weight = F.col("n") * (F.col("n_bytes") + _ROW_BYTES)
-    pairs = texts.groupBy("id", "digest").agg(
-        F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("n_bytes")
+    pairs = written(
+        texts.groupBy("id", F.unhex(F.md5("text")).alias("digest"))
+        .agg(F.count("*").alias("n"), F.max(F.octet_length("text")).cast("long").alias("n_bytes"))
+        .withColumn("weight", weight),
+        "pairs",
     )
+    count, total = pairs.agg(F.count("*"), F.sum("weight")).first()
+    size = max(group_bytes, (total or 0) // MOST_GROUPS + 1)
     placed = written(
         totals_before(
             pairs,
             [F.asc_nulls_first("id"), F.asc("digest")],
-            {"rank": F.lit(1).cast("long"), "before": weight},
+            {"rank": F.lit(1).cast("long"), "before": F.col("weight")},
             store=lambda frame: written(frame, "ordered-ids"),
         ).select(
             "id",
             "digest",
             "rank",
-            F.floor(F.col("before") / group_bytes).alias("bucket"),
-            F.when(F.col("n") > 1, F.ceil(weight / group_bytes)).otherwise(1).cast("long").alias("parts"),
+            F.floor(F.col("before") / size).alias("bucket"),
+            F.when(F.col("n") > 1, F.ceil(F.col("weight") / size)).otherwise(1).cast("long").alias("parts"),
         ),
         "places",
     )
-    count = F.lit(max(placed.count(), 1))
+    first = placed.groupBy("bucket").agg(F.min_by(F.struct("id", "digest"), "rank").alias("pair"))
+    starts = sorted(_key(r.pair.id, bytes(r.pair.digest)) for r in first.collect())
     earlier = placed.select(
-        F.pmod(F.col("rank") + 1, count).alias("rank"),
-        F.col("rank").alias("before_rank"),
+        F.pmod(F.col("rank") + 1, F.lit(max(count, 1))).alias("rank"),
+        F.struct("id", "digest").alias("before"),
         F.col("bucket").alias("before_bucket"),
         F.col("parts").alias("before_parts"),
     )
-    return written(placed.join(earlier, "rank"), "neighbours")
+    crossing = placed.join(earlier, "rank").where(
+        "rank = 0 OR bucket <> before_bucket OR parts > 1 OR before_parts > 1"
+    )
+    lent, parts = {}, {}
+    for r in crossing.collect():
+        key, before = _key(r.id, bytes(r.digest)), _key(r.before.id, bytes(r.before.digest))
+        group = bisect_right(starts, before) - 1
+        lent[key] = (group, r.before_parts, r.rank == 0)
+        if r.parts > 1:
+            parts[key] = r.parts
+    return _Order(starts, parts, lent)
 
 
 def edited_fingerprints(
@@ -246,39 +303,24 @@ def edited_fingerprints(
     and ``jaccard_edited`` and ``jaccard_next``: the similarity on five-word shingles,
     verified where a band of the signatures agrees, else null.
 
-    Equal texts have equal fingerprints. A null text is empty; empty texts are alike.
-    Rows that repeat both id and text count as one in the order, and all get its
-    facts. Bytes that are no UTF-8 count as a code point each. No rows give no
-    rows; other columns are not carried. Texts go through one shuffle, in
-    groups of consecutive ids that are sorted and then read one text at a time, so
-    memory is bounded by a text. The first text of each group is lent to the one before.
-    """
-    texts = documents.select(F.col(ident).alias("id"), text_bytes(text).alias("text")).withColumn(
-        "digest", F.unhex(F.md5("text"))
-    )
-    places = _places(texts, group_bytes)
-    same = F.col("t.id").eqNullSafe(F.col("p.id")) & (F.col("t.digest") == F.col("p.digest"))
-
-    def seats(chosen: DataFrame) -> DataFrame:
-        return texts.alias("t").join(chosen.alias("p"), same).select("p.*", F.col("t.text"))
+    Ids are integers, texts, binary or dates. Equal texts have equal fingerprints. A null
+    text is empty; empty texts are alike. Rows that repeat both id and text count as
+    one in the order, and all get its facts. Bytes that are no UTF-8 count as a
+    code point each. No rows give no rows; other columns are not carried.
 
-    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("parts"))
-    own = seats(places).select(
-        "bucket", dealt.alias("salt"), F.col("rank").alias("seat"), F.lit(True).alias("own"), "id", "text"
-    )
-    lends = "rank = 0 OR bucket <> before_bucket OR parts > 1 OR before_parts > 1"
-    borders = seats(places.where(lends)).groupBy("before_rank", "before_bucket", "before_parts")
-    lent = borders.agg(F.any_value("id").alias("id"), F.any_value("text").alias("text")).select(
-        F.col("before_bucket").alias("bucket"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("before_parts") - 1)).alias("salt"),
-        (F.col("before_rank") + 1).alias("seat"),
-        F.lit(False).alias("own"),
-        "id",
-        "text",
-    )
-    groups = own.unionByName(lent).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "seat")
-    schema = T.StructType([T.StructField("id", texts.schema["id"].dataType), *_RESULT.fields])
-    return groups.mapInArrow(_walk, schema).withColumnRenamed("id", ident)
+    Ids, digests and lengths alone are ordered first. Texts then go through one
+    shuffle, in groups of consecutive ids which are sorted and read one text
+    at a time, so memory is bounded by a text. The first text of each group is lent
+    to the one before. What the driver and the tasks hold of the order is three
+    pairs for each of ``MOST_GROUPS`` groups at most.
+    """
+    texts = documents.select(F.col(ident).alias("id"), text_bytes(text).alias("text"))
+    order = _order(texts, group_bytes)
+    id_field = T.StructField("id", texts.schema["id"].dataType)
+    dealt = T.StructType.fromDDL("bucket long, salt long, late int, own boolean, digest binary")
+    rows = texts.mapInArrow(order.deal, T.StructType([*dealt.fields, id_field, T.StructField("text", T.BinaryType())]))
+    groups = rows.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "late", "id", "digest")
+    return groups.mapInArrow(_walk, T.StructType([id_field, *_RESULT.fields])).withColumnRenamed("id", ident)
 
 
 # Near-duplicates
