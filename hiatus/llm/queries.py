@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiatus.llm.archives import archived
+from hiatus.llm.conversations import damaged, repair, repair_report
 from hiatus.llm.decontamination import contamination, hit_words
 from hiatus.llm.embeddings import near_embeddings
 from hiatus.llm.fingerprints import edited_fingerprints
@@ -113,6 +114,20 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    report = repair_report(repair(damaged(conversations)))
+    every = conversations.select(F.col("conv_id").alias("id")).distinct()
+    joined = every.join(report, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
@@ -125,4 +140,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_toxicity": op10_toxicity,
     "op11_minhash": op11_minhash,
+    "op12_conversation_repair": op12_conversation_repair,
 }

@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_ROOT: list[str] = []
 
@@ -57,6 +58,14 @@ def discard(frame: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def struct(fields: str) -> T.StructType:
+    """A schema from names and simple types, without a session."""
+    schema = T.StructType()
+    for field in fields.split(", "):
+        schema.add(*field.split())
+    return schema
+
+
 def text_bytes(name: str = "text") -> Column:
     """A text column as UTF-8 bytes; null becomes empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b"").cast("binary"))
