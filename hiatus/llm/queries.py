@@ -16,6 +16,7 @@ from hiatus.llm.fingerprints import edited_fingerprints
 from hiatus.llm.language_model import score_texts
 from hiatus.llm.licenses import scan_licenses
 from hiatus.llm.mixing import mix
+from hiatus.llm.prefix_trie import prefix_trie, spliced, turn_sequences
 from hiatus.llm.repeats import remove_repeats
 from hiatus.llm.simhash import near_duplicates
 from hiatus.llm.token_counts import token_counts
@@ -128,6 +129,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spliced(turn_sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
@@ -141,4 +146,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_minhash": op11_minhash,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
