@@ -171,12 +171,13 @@ class _Shard:
         keys = [shared.get(n) for n in range(self.total)]
         parent_keys = [shared.get(n) for n in self.parent.tolist()]
         parents = [None if p < 0 or k is not None else int(self.conv[p]) for p, k in zip(self.parent, parent_keys)]
-        hashes, listed = [None if b else _NONE for b in border], [None] * self.total
+        hashes, listed, first = [None if b else _NONE for b in border], [None] * self.total, [None] * self.total
         for node, convs in self.ends().items():
+            joined = ",".join(map(str, convs.tolist()))
             if border[node]:
-                listed[node] = convs.tolist()
+                listed[node], first[node] = joined, int(convs[0])
             else:
-                hashes[node] = hashlib.sha256(",".join(map(str, convs.tolist())).encode()).hexdigest()
+                hashes[node] = hashlib.sha256(joined.encode()).hexdigest()
         columns = {
             "key": pa.array(keys, pa.string()),
             "parent_key": pa.array(parent_keys, pa.string()),
@@ -189,14 +190,15 @@ class _Shard:
             "saved_tokens": pa.array(saved),
             "n_bytes": pa.array(self.bytes),
             "ends_sha256": pa.array(hashes, pa.string()),
-            "ends": pa.array(listed, pa.list_(pa.int64())),
+            "ends": pa.array(listed, pa.string()),
+            "first_end": pa.array(first, pa.int64()),
         }
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 _SHARD = (
     "key string, parent_key string, conv_id long, depth long, parent_conv_id long, n_convs long, n_children long,"
-    " n_leaves long, saved_tokens long, n_bytes long, ends_sha256 string, ends array<long>"
+    " n_leaves long, saved_tokens long, n_bytes long, ends_sha256 string, ends string, first_end long"
 )
 
 
@@ -239,17 +241,17 @@ def _recombined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hash of each key's ids, which come in order."""
+    """The hash of each key's ids, whose runs come in order, one from each shard."""
     key = digest = None
     for batch in batches:
         done = []
-        for name, conv in zip(batch.column("key").to_pylist(), batch.column("conv_id").to_pylist()):
+        for name, run in zip(batch.column("key").to_pylist(), batch.column("ends").to_pylist()):
             if name != key:
                 if key is not None:
                     done.append((key, digest.hexdigest()))
-                key, digest = name, hashlib.sha256(str(conv).encode())
+                key, digest = name, hashlib.sha256(run.encode())
             else:
-                digest.update(b",%d" % conv)
+                digest.update(b"," + run.encode())
         yield _pairs(done)
     if key is not None:
         yield _pairs([(key, digest.hexdigest())])
@@ -273,7 +275,7 @@ def prefix_trie(sequences: DataFrame) -> DataFrame:
     nodes. Sequences are sorted over ranges of themselves and then of their id, so even copies
     of one conversation are spread. Each range is a shard. Nodes on the paths to its
     first and last row may go on in other shards: those, two paths a shard, are added up in
-    one task, and the ids that end at them are hashed in a sorted stream.
+    one task, and the ids that end at them, joined in each shard, are hashed in order.
     """
     ranged = (
         sequences.select(
@@ -295,8 +297,9 @@ def prefix_trie(sequences: DataFrame) -> DataFrame:
     )
     schema = "key string, conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long"
     joined = written(merged.coalesce(1).mapInPandas(_recombined, schema), "shared-nodes")
-    ended = border.select("key", F.explode("ends").alias("conv_id")).repartition("key").sortWithinPartitions("key", "conv_id")
-    ends = ended.mapInArrow(_hashed, "key string, ends_sha256 string")
+    # Equal sequences are sorted by id, so the runs of ids that shards hold of them don't overlap.
+    runs = border.where("ends IS NOT NULL").select("key", "first_end", "ends")
+    ends = runs.repartition("key").sortWithinPartitions("key", "first_end").mapInArrow(_hashed, "key string, ends_sha256 string")
 
     columns = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
     finished = nodes.where("key IS NULL")
