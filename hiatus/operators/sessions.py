@@ -33,16 +33,13 @@ DEFAULT_GAP_MINUTES = 20
 SLICES_PER_BLOCK = 512
 # Slices or blocks at least this wide are numbered per user: 262,980 a year at most.
 USER_WINDOW_MICROS = 120_000_000
-# A block with more events than this is cut into cells, this many per slice.
-HOT_BLOCK_ROWS = 5_000_000
-CELLS_PER_SLICE = 32
-# By the pigeonhole principle at most this many blocks can hold more than
-# total / MAX_HOT_BLOCKS rows, which bounds the broadcast list of hot blocks.
-MAX_HOT_BLOCKS = 100_000
-
-# What precedes a block.
-_BEFORE = ("previous_event", "sessions_before")
+# Blocks with more rows are cut into cells, at this many quantiles of their times. Such
+# blocks, and with them the broadcast list of cells, are at most total / BLOCK_ROWS.
+BLOCK_ROWS = 5_000_000
+CUTS = 64
 
+# What a row is numbered with: its block and, in a crowded block, its cell and its part.
+_PLACE = ("_block", "_cell", "_part")
 
 def session_slices(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES) -> DataFrame:
     """One row per (user, non-empty slice), numbered with the session it belongs to."""
@@ -153,7 +150,7 @@ def sessionize(
     gap_minutes: float = DEFAULT_GAP_MINUTES,
     tie_break: Sequence[str] = (),
     *,
-    hot_block_rows: int = HOT_BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Event rows with pause, session flag, previous event time, session number and id.
 
@@ -161,39 +158,38 @@ def sessionize(
     it the row flagged as first among such events is arbitrary, as is the order
     of exact copies. Session numbers and ids never depend on it.
 
-    Rows are shuffled once, by user and time block. The slice table tells each
-    block its previous event and how many sessions came before, so blocks of a
-    user are numbered independently. Blocks above the hot threshold take
-    :func:`_number_hot_rows`; when there are none, AQE drops that branch.
+    Rows are shuffled once, by user and time block. The slice table tells each block its
+    previous event and how many sessions came before, so blocks of a user are
+    numbered independently. Blocks of more than ``block_rows`` rows are cut into cells at
+    quantiles of their times, which are told the same. An instant that
+    takes more than one quantile is a cell of its own, whose rows are dealt over parts:
+    what comes first there is known beforehand, so the others need no order. Only exact
+    copies of the first row of such an instant stay together.
     """
     gap = gap_to_micros(gap_minutes)
-    block = slice_start(F.col("started_at"), max(gap, 1) * SLICES_PER_BLOCK)
-    rows = events.filter(F.col("started_at").isNotNull()).withColumn("block", block)
-    blocks = _blocks(session_slices(events, gap_minutes), gap)
-
-    share = events.select(F.count(F.lit(1)) / F.lit(MAX_HOT_BLOCKS)).scalar()
-    is_hot = F.col("track_count") > F.greatest(F.lit(hot_block_rows).cast("double"), share)
-    hot_blocks = F.broadcast(blocks.filter(is_hot).drop("track_count"))
-    tagged = (
-        rows.alias("rows")
-        .join(hot_blocks.alias("hot"), _same_block(), "left")
-        .select("rows.*", *[F.col(f"hot.{name}") for name in _BEFORE])
-    )
-    cold_rows = tagged.filter(F.col("sessions_before").isNull()).drop(*_BEFORE)
-    cold_blocks = blocks.filter(~is_hot)
-    cold = _number_rows(cold_rows, cold_blocks, ["block"], gap, tie_break)
-    hot_rows = tagged.filter(F.col("sessions_before").isNotNull())
-    hot = _number_hot_rows(hot_rows, gap, tie_break)
-
-    shown = [
+    timed = events.filter(F.col("started_at").isNotNull()).withColumn("_block", _block_of(gap))
+    slices = session_slices(events, gap_minutes)
+    blocks = _blocks(slices, gap)
+    crowded = F.col("track_count") > block_rows
+    first = [*tie_break, F.xxhash64(*_hashable(events))]
+    cells = _cells(timed, blocks.filter(crowded), slices, gap, first)
+    numbered = _number_rows(_placed(timed, cells, first), blocks.filter(~crowded), gap, tie_break)
+    return numbered.select(
         *events.columns,
         _pause_seconds().alias("gap_seconds"),
         "is_new_session",
         "previous_started_at",
         "session_number",
         session_id(F.col("user_id"), F.col("session_number")).alias("session_id"),
-    ]
-    return cold.select(*shown).unionByName(hot.select(*shown))
+    )
+
+
+def _hashable(events: DataFrame) -> list[str]:
+    return [f.name for f in events.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+
+
+def _block_of(gap: int) -> Column:
+    return slice_start(F.col("started_at"), max(gap, 1) * SLICES_PER_BLOCK)
 
 
 def _blocks(slices: DataFrame, gap: int) -> DataFrame:
@@ -201,101 +197,132 @@ def _blocks(slices: DataFrame, gap: int) -> DataFrame:
     start = F.col("slice_start")
     block = start - F.pmod(start, F.lit(max(gap, 1) * SLICES_PER_BLOCK).cast("long"))
     already_open = F.col("session_number") - F.col("opens_session")
-    return slices.groupBy("user_id", block.alias("block")).agg(
+    return slices.groupBy("user_id", block.alias("_block")).agg(
         F.sum("track_count").alias("track_count"),
         F.min_by("previous_event", "slice_start").alias("previous_event"),
         F.min(already_open).alias("sessions_before"),
     )
 
 
-def _number_hot_rows(rows: DataFrame, gap: int, tie_break: Sequence[str]) -> DataFrame:
-    """Number the rows of hot blocks without sorting a whole block in one task.
+def _cells(timed: DataFrame, crowded: DataFrame, slices: DataFrame, gap: int, first: list) -> DataFrame:
+    """For each crowded block its cells: where they begin (in microseconds) and what precedes them.
 
-    ``rows`` carry what precedes their block. They are first ranked per (user,
-    instant, input split). The first of each such group is its leader; all
-    others have their own time as previous time and the leader's session.
-    Leaders are numbered like ordinary rows, in cells shorter than a slice,
-    while the others stay apart in groups no larger than an input split.
+    ``parts`` is 0 but for a cell that is a single crowded instant, of which ``leader`` is
+    the least row. No row is read when no block is crowded.
     """
-    cell = slice_start(F.col("started_at"), max(gap // CELLS_PER_SLICE, 1))
-    rows = rows.withColumn("cell", cell)
-    in_block = Window.partitionBy("user_id", "block").orderBy("cell")
-    last_before = F.coalesce(F.lag("last_event").over(in_block), "block_previous")
-    opens = _opens("first_event", "previous_event", gap)
-    opened_before = F.sum(opens).over(_up_to_here(in_block)) - opens
-    cells = (
-        rows.groupBy("user_id", "block", "cell")
+    micros = F.unix_micros("started_at")
+    shares = [(k + 1) / CUTS for k in range(CUTS - 1)]
+    quantiles = F.percentile_approx(F.unix_micros("rows.started_at"), shares, 10_000)
+    rows = timed.alias("rows").join(F.broadcast(crowded.alias("blocks")), _same("rows", "blocks"))
+    cuts = rows.groupBy("rows.user_id", "rows._block").agg(
+        quantiles.alias("_quantiles"), F.max("blocks.previous_event").alias("_previous")
+    )
+    repeated = F.filter("_quantiles", lambda q: F.size(F.filter("_quantiles", lambda other: other == q)) > 1)
+    cuts = cuts.select(
+        "user_id",
+        "_block",
+        "_previous",
+        repeated.alias("_crowd"),
+        F.array_sort(F.array_distinct(F.concat("_quantiles", F.transform(repeated, lambda q: q + 1)))).alias("_cuts"),
+    )
+    own = F.coalesce(F.try_element_at(F.filter("_cuts", lambda c: c <= micros), F.lit(-1)), F.col("rows._block"))
+    parts = F.size(F.filter("_crowd", lambda q: q == own))
+    counted = (
+        timed.alias("rows")
+        .join(F.broadcast(cuts.alias("cuts")), _same("rows", "cuts"))
+        .select("rows.*", "cuts._previous", own.alias("cell"), parts.alias("parts"))
+        .groupBy("user_id", "_block", "cell")
         .agg(
             F.min("started_at").alias("first_event"),
             F.max("started_at").alias("last_event"),
-            F.any_value("previous_event").alias("block_previous"),
-            F.any_value("sessions_before").alias("block_sessions"),
+            F.max("parts").alias("parts"),
+            F.max("_previous").alias("block_previous"),
+            F.min(F.when(F.col("parts") > 0, F.struct(*first))).alias("leader"),
         )
-        .withColumn("previous_event", last_before)
-        .select(
-            "user_id",
-            "cell",
-            "previous_event",
-            (F.col("block_sessions") + opened_before).alias("sessions_before"),
+    )
+    in_block = Window.partitionBy("user_id", "_block").orderBy("cell")
+    before = F.coalesce(F.lag("last_event").over(in_block), "block_previous")
+    # A session number is that of the slice; the cell's first event may be what opens it.
+    numbers = slices.select("user_id", "slice_start", "session_number").alias("slices")
+    same_slice = F.col("cells.user_id").eqNullSafe(F.col("slices.user_id")) & (
+        slice_start(F.col("cells.first_event"), max(gap, 1)) == F.col("slices.slice_start")
+    )
+    opens = _opens("first_event", "previous_event", gap)
+    return (
+        counted.withColumn("previous_event", before)
+        .alias("cells")
+        .join(numbers, same_slice)
+        .groupBy("cells.user_id", "cells._block")
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct(
+                        "cell",
+                        "parts",
+                        "leader",
+                        "previous_event",
+                        (F.col("session_number") - opens).alias("sessions_before"),
+                        F.col("session_number").alias("sessions_after"),
+                    )
+                )
+            ).alias("_cells")
         )
     )
 
-    group = Window.partitionBy("user_id", "started_at", "input_split")
-    place = F.row_number().over(group.orderBy(*(tie_break or ["started_at"])))
-    ranked = (
-        rows.drop(*_BEFORE)
-        .withColumn("input_split", F.spark_partition_id())
-        .withColumn("place", place)
-    )
-    follows = F.col("place") > 1
-    apart = F.when(follows, F.struct("started_at", "input_split"))
-    numbered = _number_rows(
-        ranked.withColumn("apart", apart), cells, ["cell", "apart"], gap, tie_break
+
+def _placed(timed: DataFrame, cells: DataFrame, first: list) -> DataFrame:
+    """Rows with the cell and the part they are numbered in, and what precedes it.
+
+    Outside of crowded blocks these are null. In the first part of a crowded instant
+    are the copies of its first row, after which the instant has begun in all others.
+    """
+    micros = F.unix_micros("started_at")
+    own = F.try_element_at(F.filter("_cells", lambda c: c["cell"] <= micros), F.lit(-1))
+    dealt = F.pmod(F.monotonically_increasing_id(), F.col("_own.parts")) + 1
+    begun = (F.col("_own.parts") > 0) & (F.struct(*first) != F.col("_own.leader"))
+    placed = (
+        timed.alias("rows")
+        .join(F.broadcast(cells.alias("cells")), _same("rows", "cells"), "left")
+        .select("rows.*", own.alias("_own"))
     )
-    of_leader = F.max(F.when(~follows, F.col("session_number"))).over(group)
-    previous = F.when(follows, F.col("started_at")).otherwise(F.col("previous_started_at"))
-    return numbered.withColumns(
-        {
-            "previous_started_at": previous,
-            "is_new_session": F.when(follows, 0).otherwise(F.col("is_new_session")),
-            "session_number": of_leader,
-        }
+    return placed.select(
+        *timed.columns,
+        F.col("_own.cell").alias("_cell"),
+        F.when(begun, dealt).alias("_part"),
+        F.when(begun, F.col("started_at")).otherwise(F.col("_own.previous_event")).alias("_previous"),
+        F.when(begun, F.col("_own.sessions_after")).otherwise(F.col("_own.sessions_before")).alias("_sessions"),
     )
 
 
-def _number_rows(
-    rows: DataFrame,
-    intervals: DataFrame,
-    keys: Sequence[str],
-    gap: int,
-    tie_break: Sequence[str],
-) -> DataFrame:
-    """Previous event, session flag and session number for rows, interval by interval.
+def _number_rows(rows: DataFrame, blocks: DataFrame, gap: int, tie_break: Sequence[str]) -> DataFrame:
+    """Previous event, session flag and session number for rows, place by place.
 
-    ``intervals`` has one row per (user, interval) with what precedes it. That
-    row is sorted ahead of the interval's events as a marker, so one sort
-    serves the lag and the running count, and null users match as well. The
-    interval is the first of ``keys``; rows with further keys set see no marker.
+    ``blocks`` has one row per (user, block) with what precedes it. That row is
+    sorted ahead of the block's events as a marker, so one sort serves the lag
+    and the running count, and null users match as well. Rows of cut blocks know
+    themselves what precedes their place.
     """
-    markers = intervals.select(
+    markers = blocks.select(
         "user_id",
-        keys[0],
+        "_block",
         F.lit(0).alias("_rank"),
         F.col("previous_event").alias("_clock"),
         F.col("sessions_before").alias("_sessions"),
     )
-    marked = rows.withColumns(
-        {"_rank": F.lit(1), "_clock": F.col("started_at"), "_sessions": F.lit(None).cast("long")}
-    ).unionByName(markers, allowMissingColumns=True)
-    ordered = Window.partitionBy("user_id", *keys).orderBy("_rank", "started_at", *tie_break)
+    marked = rows.withColumns({"_rank": F.lit(1), "_clock": F.col("started_at")}).unionByName(
+        markers, allowMissingColumns=True
+    )
+    ordered = Window.partitionBy("user_id", *_PLACE).orderBy("_rank", "started_at", *tie_break)
     opens = _opens("started_at", "previous_started_at", gap)
+    # Of a marker its sessions; of a row of a cut block they are added to the sum.
     opened = F.when(F.col("_rank") == 0, F.col("_sessions")).otherwise(opens)
+    before = F.when(F.col("_rank") == 1, F.coalesce("_sessions", F.lit(0))).otherwise(0)
     return (
-        marked.withColumn("previous_started_at", F.lag("_clock").over(ordered))
+        marked.withColumn("previous_started_at", F.coalesce(F.lag("_clock").over(ordered), "_previous"))
         .withColumns(
             {
                 "is_new_session": opens,
-                "session_number": F.sum(opened).over(_up_to_here(ordered)),
+                "session_number": F.sum(opened).over(_up_to_here(ordered)) + before,
             }
         )
         .filter(F.col("_rank") == 1)
@@ -320,9 +347,9 @@ def _pause_seconds() -> Column:
     return whole_seconds(F.col("started_at")) - whole_seconds(F.col("previous_started_at"))
 
 
-def _same_block() -> Column:
-    return F.col("rows.user_id").eqNullSafe(F.col("hot.user_id")) & (
-        F.col("rows.block") == F.col("hot.block")
+def _same(left: str, right: str) -> Column:
+    return F.col(f"{left}.user_id").eqNullSafe(F.col(f"{right}.user_id")) & (
+        F.col(f"{left}._block") == F.col(f"{right}._block")
     )
 
 

@@ -164,8 +164,8 @@ def sessionized_events(spark, sf_dir):
 
 @query
 def sessionized_events_hot(spark, sf_dir):
-    """The path of busy blocks, taken by every block of more than a few rows."""
-    return sessionize(fixtures.plays(spark, sf_dir), PLAY_GAP, ["event_id"], hot_block_rows=0)
+    """Every block is cut into cells."""
+    return sessionize(fixtures.plays(spark, sf_dir), PLAY_GAP, ["event_id"], block_rows=0)
 
 
 @query

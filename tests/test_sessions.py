@@ -140,10 +140,10 @@ def brute_force(rows, gap_seconds):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot_block_rows", [5_000_000, 100, 0])
-def test_rows_match_brute_force_on_cold_and_hot_paths(spark, seed, hot_block_rows):
+@pytest.mark.parametrize("block_rows", [5_000_000, 100, 0])
+def test_rows_match_brute_force_whatever_the_blocks_hold(spark, seed, block_rows):
     rows, frame = random_events(spark, seed)
-    result = sessionize(frame, 20, ["event_id"], hot_block_rows=hot_block_rows)
+    result = sessionize(frame, 20, ["event_id"], block_rows=block_rows)
     plain = result.withColumn("previous", F.col("previous_started_at").cast("timestamp_ntz"))
     found = {
         r.event_id: (r.previous, r.is_new_session, r.session_number) for r in plain.collect()
@@ -156,7 +156,7 @@ def test_hot_copies_without_a_key_keep_every_row(spark):
     moment = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
     rows = [("u", moment)] * 300 + [("u", moment + timedelta(seconds=s)) for s in range(1, 601)]
     frame = spark.createDataFrame(rows, "user_id string, started_at timestamp").repartition(6)
-    result = sessionize(frame, hot_block_rows=10).cache()
+    result = sessionize(frame, block_rows=10).cache()
     assert result.count() == 900
     assert result.filter("is_new_session = 1").count() == 1
     assert result.filter("session_number = 1").count() == 900
@@ -248,20 +248,41 @@ def test_summary_reads_two_columns_and_aggregates_before_the_shuffle(spark):
 def test_rows_are_sorted_only_by_windows(spark):
     """No aggregate falls back to sorting events, and ordinary rows cross one shuffle."""
     _, frame = random_events(spark, 5)
-    plan = sessionize(frame, 20, ["event_id"])._jdf.queryExecution().executedPlan().toString()
+    result = sessionize(frame, 20, ["event_id"])
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "SortAggregate" not in plan
     assert "SortMergeJoin" not in plan
 
 
-def test_branch_for_hot_blocks_is_dropped_when_there_are_none(spark):
+def test_crowded_instants_are_dealt_over_parts(spark):
+    """A third of all rows at one instant, and no task orders more than a share of them."""
+    moment = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
+    rows = [(n, "u", moment) for n in range(3000)]
+    rows += [(5000 + s, "u", moment + timedelta(seconds=s - 3000)) for s in range(6000) if s != 3000]
+    frame = spark.createDataFrame(rows, "event_id long, user_id string, started_at timestamp").repartition(6)
+    result = sessionize(frame, 20, ["event_id"], block_rows=1000)
+    found = {
+        r.event_id: (r.p, r.is_new_session, r.session_number)
+        for r in result.withColumn("p", F.col("previous_started_at").cast("timestamp_ntz")).collect()
+    }
+    assert found == brute_force(rows, 1200)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part#" in plan and plan.count("Window [sum(") <= 3
+
+
+def test_rows_are_read_once_when_no_block_is_crowded(spark, tmp_path):
+    """The cells' branch is dropped: rows are read for the slices and to be numbered."""
     _, frame = random_events(spark, 6)
+    frame.write.parquet(str(tmp_path / "rows"))
+    frame = spark.read.parquet(str(tmp_path / "rows"))
 
-    def runs_both_branches(**options):
+    def scans(**options):
         result = sessionize(frame, 20, ["event_id"], **options)
         result.collect()
-        final = result._jdf.queryExecution().executedPlan().toString().splitlines()
-        assert "Final Plan" in final[1]
-        return "Union" in final[3]
+        final = result._jdf.queryExecution().executedPlan().toString()
+        assert "Final Plan" in final
+        return final.split("Initial Plan")[0].count("Scan parquet")
 
-    assert runs_both_branches(hot_block_rows=10)
-    assert not runs_both_branches()
+    assert scans() == 2
+    assert scans(block_rows=10) > 2
