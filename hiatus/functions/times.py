@@ -49,10 +49,22 @@ def next_month(month: Column, steps=1) -> Column:
 
 
 def utc_instant(clock: Column) -> Column:
-    """The instant of a zone-less UTC time, whatever the session's zone is."""
-    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), clock).cast("timestamp")
+    """The instant of a zone-less UTC time, whatever the session's zone is.
+
+    Days and the time of day are counted on the zone-less calendar, so hours that a
+    local clock repeats or leaves out make no difference.
+    """
+    clock = clock.cast("timestamp_ntz")
+    day = F.unix_date(clock.cast("date")).cast("long")
+    minutes = (day * 24 + F.hour(clock)) * 60 + F.minute(clock)
+    micros = (F.extract(F.lit("SECOND"), clock) * 1_000_000).cast("long")
+    return F.timestamp_micros(minutes * 60_000_000 + micros)
 
 
 def utc_clock(moment: Column) -> Column:
     """The zone-less UTC time of an instant, whatever the session's zone is."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), _epoch())
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")

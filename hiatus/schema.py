@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hiatus.functions.times import utc_instant
+
 # The delimited event file has these six string fields and no header.
 RAW_EVENTS = T.StructType(
     [
@@ -18,9 +20,10 @@ RAW_EVENTS = T.StructType(
     ]
 )
 
-# Fixed value: whole-second UTC timestamps with a literal Z.
+# Fixed value: whole-second timestamps whose closing Z is read as UTC.
 TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ssX"
 
+# The layouts of events, sessions and series.
 EVENT_COLUMNS = (
     "user_id",
     "started_at",
@@ -70,7 +73,7 @@ def as_events(
     """Map any timestamped table onto the event layout.
 
     Each argument is a column or column name; absent ones become null strings.
-    ``keep`` names further columns to carry along, such as a unique key used
+    Zone-less times are UTC. ``keep`` names further columns to carry along, such as a unique key used
     to order events that share a timestamp.
     """
 
@@ -79,7 +82,7 @@ def as_events(
 
     return table.select(
         _column(user_id).alias("user_id"),
-        _column(started_at).cast("timestamp").alias("started_at"),
+        _instant(table, _column(started_at)).alias("started_at"),
         text(artist_id).alias("artist_id"),
         text(artist_name).alias("artist_name"),
         text(track_id).alias("track_id"),
@@ -89,5 +92,11 @@ def as_events(
     )
 
 
+def _instant(table: DataFrame, moment: Column) -> Column:
+    """Zone-less times and dates are UTC; texts are read by the session."""
+    kind = table.select(moment).schema[0].dataType
+    return utc_instant(moment) if isinstance(kind, (T.TimestampNTZType, T.DateType)) else moment.cast("timestamp")
+
+
 def _column(value):
     return F.col(value) if isinstance(value, str) else value
