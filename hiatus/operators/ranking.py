@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hiatus.functions import slice_start
+from hiatus.operators.ordering import positions
 from hiatus.operators.sessions import session_table
 
 # Up to this many ranked sessions are broadcast; longer lists are joined by shuffle.
@@ -20,6 +21,7 @@ BROADCAST_SESSIONS = 1_000
 # Width of the join slices for longer lists. Any width gives the same result.
 JOIN_SLICE_MICROS = 60 * 60 * 1_000_000
 
+# Names of the results and the keys that rank them.
 _SONG = ("artist_name", "track_name")
 
 
@@ -51,10 +53,12 @@ def top_user(sessions: DataFrame) -> DataFrame:
     return top_users(sessions, 1)
 
 
-def with_rank(ranked: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Position 1..n in an already limited ranking, as a ``rank`` column."""
-    position = F.row_number().over(Window.orderBy(*order)).cast("long")
-    return ranked.withColumn("rank", position)
+def with_rank(frame: DataFrame, order: Sequence[Column], **options) -> DataFrame:
+    """Position 1..n of the rows of any frame in an order, as a ``rank`` column.
+
+    Options are those of :func:`hiatus.operators.ordering.totals_before`.
+    """
+    return positions(frame, order, "rank", **options)
 
 
 def ranked_sessions(sessions: DataFrame, count: int = 50) -> DataFrame:
@@ -129,12 +133,25 @@ def plays_by_interval(events: DataFrame, ranked: DataFrame, count: int) -> DataF
 
 
 def song_counts(plays: DataFrame) -> DataFrame:
-    """Plays, sessions and distinct track ids per (artist, track); null ids are not counted."""
-    return plays.groupBy(*_SONG).agg(
-        F.count(F.lit(1)).alias("play_count"),
-        F.count_distinct("session_id").alias("session_count"),
-        F.count_distinct("track_id").alias("distinct_track_ids"),
-    )
+    """Plays, sessions and distinct track ids per (artist, track); null ids are not counted.
+
+    Plays are first combined by song, session and id, before their one shuffle. The
+    sessions of a song and its ids are then each counted by a plain aggregate, where two
+    distinct counts side by side would copy every row.
+    """
+    combined = plays.groupBy(*_SONG, "session_id", "track_id").agg(F.count(F.lit(1)).alias("plays"))
+
+    def counted(ident: str) -> DataFrame:
+        each = combined.groupBy(*_SONG, ident).agg(F.sum("plays").alias("plays"))
+        there = F.col(ident).isNotNull().cast("long")
+        none = F.lit(0).cast("long")
+        by = {"session_id": none, "track_id": none} | {ident: there}
+        return each.select(*_SONG, "plays", by["session_id"].alias("sessions"), by["track_id"].alias("ids"))
+
+    # Either part has all plays. Asking both for them keeps both on the same shuffle.
+    both = counted("session_id").unionByName(counted("track_id"))
+    summed = both.groupBy(*_SONG).agg(F.sum("plays").alias("plays"), F.sum("sessions").alias("session_count"), F.sum("ids").alias("distinct_track_ids"))
+    return summed.select(*_SONG, (F.col("plays") / 2).cast("long").alias("play_count"), "session_count", "distinct_track_ids")
 
 
 def top_songs(plays: DataFrame, count: int = 10) -> DataFrame:

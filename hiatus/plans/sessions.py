@@ -16,6 +16,7 @@ from hiatus.operators.sessions import (
     summarize_sessionized,
 )
 from hiatus.sources import load_events
+from hiatus.sources.workspace import Workspace
 
 
 def top_songs_in_top_sessions(
@@ -69,8 +70,18 @@ def prepare(
     with_rows: bool = False,
     tie_break: Sequence[str] = (),
     quote: str | None = None,
+    format: str | None = None,
+    workspace: Workspace | None = None,
 ) -> SessionFrames:
-    """Load (and stage) events and materialise their session table."""
-    events = load_events(spark, tsv_path, staged_path, refresh=refresh, partitions=partitions, quote=quote)
+    """Load (and stage) events and materialise their session table.
+
+    With a ``workspace`` the table is written there, which outlives lost executors and
+    ends with the workspace; otherwise executors keep it on their disks.
+    """
+    events = load_events(
+        spark, tsv_path, staged_path, refresh=refresh, partitions=partitions, quote=quote, format=format
+    )
     rows = sessionize(events, gap_minutes, tie_break) if with_rows else None
-    return SessionFrames(events, materialize(summarize_events(events, gap_minutes)), rows)
+    sessions = summarize_events(events, gap_minutes)
+    kept = materialize(sessions) if workspace is None else workspace.write(sessions, "sessions")
+    return SessionFrames(events, kept, rows)

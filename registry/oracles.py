@@ -416,7 +416,9 @@ ORACLES: dict[str, str] = {
     "tsv_roundtrip": sql(NORMALIZED, f"SELECT {EVENT} FROM normalized"),
     "tsv_export_sessions": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
     "tsv_export_texts": sql(
-        PLAYS, "SELECT event_id, '  \"a\"' || chr(9) || artist_name || ' ' AS artist_name, started_at FROM plays"
+        PLAYS,
+        "SELECT event_id, CASE event_id % 7 WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '\\N' "
+        "ELSE '  \"a\"' || chr(9) || artist_name || ' ' END AS artist_name, started_at FROM plays",
     ),
     "parquet_folder_load": sql(PLAYS, f"SELECT {EVENT}, event_id FROM plays"),
     "prepared_sessions": sql(

@@ -115,7 +115,7 @@ def parquet_stage_roundtrip(spark, sf_dir):
 @query
 def tsv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "tsv")
-    write_tsv(fixtures.raw_plays(spark, sf_dir), path, header=False)
+    write_tsv(fixtures.raw_plays(spark, sf_dir), path, header=False, null_value="")
     return read_tsv(spark, path)
 
 
@@ -128,8 +128,14 @@ def tsv_export_sessions(spark, sf_dir):
 
 @query
 def tsv_export_texts(spark, sf_dir):
-    """Names with spaces at both ends, quotes and tabs, and times in microseconds."""
-    padded = F.concat(F.lit('  "a"\t'), "artist_name", F.lit(" "))
+    """Names with spaces at both ends, quotes and tabs, empty, missing and marker-like ones, and times in microseconds."""
+    odd = F.col("event_id") % 7
+    padded = (
+        F.when(odd == 1, "")
+        .when(odd == 2, F.lit(None))
+        .when(odd == 3, "\\N")
+        .otherwise(F.concat(F.lit('  "a"\t'), "artist_name", F.lit(" ")))
+    )
     texts = fixtures.plays(spark, sf_dir).select("event_id", padded.alias("artist_name"), "started_at")
     path = write_tsv(texts, scratch_path(spark, "texts"), header=False)
     return read_export(spark, path, texts.schema, header=False)
@@ -145,7 +151,7 @@ def parquet_folder_load(spark, sf_dir):
 @query
 def prepared_sessions(spark, sf_dir):
     """Export, load, stage and materialise, as one call."""
-    path = write_tsv(fixtures.raw_plays(spark, sf_dir), scratch_path(spark, "raw"), header=False)
+    path = write_tsv(fixtures.raw_plays(spark, sf_dir), scratch_path(spark, "raw"), header=False, null_value="")
     return prepare(spark, path, scratch_path(spark, "staged"), PLAY_GAP).sessions
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from hiatus.sources import (
     staged_exists,
     write_tsv,
 )
+from hiatus.sources.workspace import Workspace
 
 GOOD = "2009-05-04T23:08:57Z"
 
@@ -174,7 +176,7 @@ def test_tsv_export_layout(spark, events, tmp_path):
     [file] = glob.glob(f"{path}/*.csv")
     with open(file, encoding="utf-8") as lines:
         rows = list(csv.reader(lines, delimiter="\t"))
-    assert rows == [["user_id", "started_at", "track_id"], ["u", "2024-03-01 10:00:00.000000", ""]]
+    assert rows == [["user_id", "started_at", "track_id"], ["u", "2024-03-01 10:00:00.000000", "\\N"]]
 
 
 def test_export_round_trip_keeps_texts_and_times(spark, tmp_path):
@@ -185,8 +187,49 @@ def test_export_round_trip_keeps_texts_and_times(spark, tmp_path):
     path = write_tsv(frame, str(tmp_path / "out"))
     back = read_export(spark, path, frame.schema)
     assert sorted(back.collect()) == sorted(frame.collect(), key=lambda r: r.n)
-    empty = write_tsv(spark.createDataFrame([(1, "")], "n int, text string"), str(tmp_path / "empty"))
-    assert read_export(spark, empty, "n int, text string").first().text is None
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_export_tells_null_from_empty_text_and_marker(spark, tmp_path, header):
+    texts = ["", None, "\\N", "\\\\N", "N", "\\", ' a"b\t\n', '""', "null", "\\\\\\N x"]
+    rows = [(i, text, None if i % 3 == 0 else i / 2) for i, text in enumerate(texts)]
+    schema = "n int, text string, x double"
+    path = write_tsv(spark.createDataFrame(rows, schema), str(tmp_path / "texts"), header=header)
+    back = read_export(spark, path, schema, header=header).orderBy("n").collect()
+    assert [tuple(r) for r in back] == rows
+
+
+def test_export_with_empty_nulls_reads_as_event_files_do(spark, tmp_path):
+    path = write_tsv(spark.createDataFrame([(1, None)], "n int, text string"), str(tmp_path / "x"), header=False, null_value="")
+    assert [r.value for r in spark.read.text(path).collect()] == ["1\t"]
+    assert read_export(spark, path, "n int, text string", header=False, null_value="").first().text is None
+
+
+def test_named_format_wins_over_what_lies_in_the_folder(spark, tmp_path, events):
+    staged = str(tmp_path / "plain-name")
+    events(("u", "2024-01-01 10:00:00", "A", "x", "1")).write.parquet(staged)
+    tsv = tmp_path / "tsv"
+    tsv.mkdir()
+    (tsv / "events.tsv").write_text("u\t2024-01-01T10:00:00Z\tid\tA\t1\tx\n")
+    (tsv / "stray.parquet").write_text("not parquet")
+    assert load_events(spark, staged, format="parquet").count() == 1
+    assert load_events(spark, str(tsv / "events.tsv"), format="tsv").first().track_name == "x"
+    assert load_events(spark, f"{tsv}/*.tsv", format="tsv").count() == 1
+    with pytest.raises(ValueError, match="format"):
+        load_events(spark, staged, format="orc")
+
+
+def test_prepare_in_a_workspace(spark, tmp_path):
+    tsv = tmp_path / "events.tsv"
+    tsv.write_text("".join(f"u\t2024-01-01T10:{m:02d}:00Z\tid\tA\t1\tx\n" for m in range(0, 60, 25)))
+    with Workspace(spark, str(tmp_path / "space")) as space:
+        frames = prepare(spark, str(tsv), with_rows=True, workspace=space)
+        assert frames.sessions.count() == 3 and frames.sessionized.count() == 3
+        assert frames.sessions.storageLevel.useDisk is False
+        assert len(space.paths) == 1
+        assert glob.glob(str(tmp_path / "space" / "sessions-*" / "*.parquet"))
+    left = sum(os.path.getsize(f) for f in glob.glob(str(tmp_path / "space" / "**" / "*.parquet"), recursive=True))
+    assert left < 2_000
 
 
 def test_instants_do_not_depend_on_the_session_zone(spark, tmp_path):
