@@ -60,14 +60,19 @@ terms AS (
     FROM (SELECT source, rate, unnest(range(0, 200)) AS k FROM rates), LATERAL (SELECT k AS i)
 ),
 steps AS (SELECT source, k, sum(exp(log_p)) OVER (PARTITION BY source ORDER BY k) AS total FROM terms),
-draws AS (SELECT *, {unit_hash("'17'", "coalesce(doc_id::VARCHAR, '\\N')")} AS u FROM documents),
+numbered AS (
+    SELECT *, coalesce(doc_id::VARCHAR, '\\N') || '|' || digest || '|'
+              || (row_number() OVER (PARTITION BY doc_id, digest ORDER BY lang, source, n_chars) - 1)::VARCHAR AS name
+    FROM (SELECT *, md5(coalesce(text, '')) AS digest FROM documents)
+),
+draws AS (SELECT *, {unit_hash("'17'", "name", "'0'")} AS u FROM numbered),
 counted AS (
     SELECT d.*, (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND s.total < d.u) AS copies
     FROM draws d
 ),
 copied AS (SELECT *, unnest(range(0, copies)) AS copy FROM counted)
 SELECT doc_id, text, lang, source, n_chars, copy,
-       md5('17|order|' || coalesce(doc_id::VARCHAR, '\\N') || '|' || copy::VARCHAR) AS mix_key
+       md5('17|order|' || name || '|' || copy::VARCHAR) AS mix_key
 FROM copied
 """
 

@@ -128,14 +128,15 @@ def mixture(documents: list) -> list:
     rate = {s: sum(size.values()) / sum(n > 0 for n in size.values()) / n if n else 1.0 for s, n in size.items()}
     out = []
     for d in documents:
-        unit = (int(hashlib.md5(f"17|{d[0]}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+        name = f"{d[0]}|{hashlib.md5((d[1] or '').encode()).hexdigest()}|0"  # ids don't repeat here
+        unit = (int(hashlib.md5(f"17|{name}|0".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
         copies, p = 0, math.exp(-rate[d[3]])
         total = p
         while total < unit:
             copies += 1
             p *= rate[d[3]] / copies
             total += p
-        out += [(*d, k, hashlib.md5(f"17|order|{d[0]}|{k}".encode()).hexdigest()) for k in range(copies)]
+        out += [(*d, k, hashlib.md5(f"17|order|{name}|{k}".encode()).hexdigest()) for k in range(copies)]
     return out
 
 

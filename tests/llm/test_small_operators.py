@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from hiatus.llm.decontamination import contamination, hit_words
-from hiatus.llm.mixing import mix, poisson
+from hiatus.llm.mixing import copies, mix, poisson
 from hiatus.llm.toxicity import toxicity
 
 
@@ -54,6 +54,32 @@ def test_mixture_reaches_its_weights(spark):
     assert mix(frame.limit(0)).count() == 0
 
 
+def test_null_and_repeated_ids_have_draws_of_their_own(spark):
+    """A third null ids, a third one id, a third exact copies: all reach their weights, in even tasks."""
+    rows = [(None, f"t{i}", "a", "x") for i in range(6000)] + [(7, f"u{i}", "b", "x") for i in range(6000)]
+    rows += [(8, "same text", "c", "x")] * 6000
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, _number string").repartition(5)
+    mixed = mix(frame).cache()
+    sizes = {s: sum(len(r[1]) for r in rows if r[2] == s) for s in "abc"}
+    for row in mixed.groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("mix_key").alias("keys")).collect():
+        mean = 6000 * sum(sizes.values()) / 3 / sizes[row.source]
+        assert abs(row.n - mean) < 3.5 * math.sqrt(mean)
+        assert row["keys"] == row.n
+    per_task = [r.n for r in mixed.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert max(per_task) < 2 * sum(per_task) / len(per_task)
+    assert mixed.where("source = 'a'").select("text").distinct().count() > 3000
+    again = mix(frame.repartition(3)).agg(F.bit_xor(F.xxhash64("doc_id", "text", "copy", "mix_key"))).first()
+    assert mixed.agg(F.bit_xor(F.xxhash64("doc_id", "text", "copy", "mix_key"))).first() == again
+    mixed.unpersist()
+
+
+def test_large_rates_keep_their_variance(spark):
+    drawn = spark.range(3000).select(copies(F.lit(2000.0), F.lit(3), F.col("id")).alias("n"))
+    mean, variance = drawn.agg(F.avg("n"), F.variance("n")).first()
+    assert abs(mean - 2000) < 4 * math.sqrt(2000 / 3000)
+    assert abs(variance / 2000 - 1) < 0.12
+
+
 def test_toxicity_learns_and_takes_odd_rows(spark):
     words = "the house stands near a river with old trees and stones".split()
     texts = [" ".join(words[(i * k) % 11] for k in range(1, 30)) + (" vile nasty" if i % 3 == 0 else "") for i in range(300)]
