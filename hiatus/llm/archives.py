@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hiatus.functions import utc_clock
 from hiatus.llm.tables import fresh, new_path, text_bytes, written
 
 #: Payloads of at least this many bytes are stored once.
@@ -76,6 +77,8 @@ def write_archives(
     block = F.when(revisit, http).otherwise(F.concat(http, body.cast("string")))
     address = F.regexp_replace(F.col(url).cast("string"), r"[\x00-\x20\x7F]", "%20")
 
+    clock = utc_clock(F.current_timestamp()).cast("string")
+
     def field(name: str, value: Column) -> Column:
         return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
 
@@ -86,7 +89,7 @@ def write_archives(
         F.lit(f"{MAGIC}{VERSION}\r\n"),
         field("WARC-Type", F.col("record_type")),
         field("WARC-Record-ID", record_id(F.col(ident))),
-        field("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        field("WARC-Date", F.concat(F.translate(F.substring(clock, 1, 19), " ", "T"), F.lit("Z"))),
         field("WARC-Target-URI", address),
         field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         field("WARC-Refers-To", record_id(F.col("refers_to"))),
@@ -121,6 +124,45 @@ def _placed(rows: DataFrame) -> DataFrame:
     )
 
 
+def _candidates(rows: DataFrame) -> DataFrame:
+    """Rows that stand at a file's first magic or right after a record's end.
+
+    Adds ``header_end``: where the header ends, which for a header that itself holds the
+    magic is the first end in a later piece. A piece without an end follows one
+    with an end or is no candidate, so such headers never overlap.
+    """
+    order = Window.partitionBy("file", "split").orderBy("turn")
+    # From the end backwards, as Spark sums up each frame anew that ends with the partition.
+    onward = Window.partitionBy("file", "split").orderBy(F.desc("turn")).rowsBetween(Window.unboundedPreceding, 0)
+    of_file = Window.partitionBy("file").orderBy("split")
+    later = Window.partitionBy("file").orderBy(F.desc("split")).rowsBetween(Window.unboundedPreceding, -1)
+    marked = written(
+        rows.withColumn("end", F.when(F.col("rest") >= 0, F.col("offset") + F.col("header_bytes")))
+        .withColumn("after_end", F.lag("ends").over(order))
+        .withColumn("header_end", F.last("end", ignorenulls=True).over(onward)),
+        "pieces",
+    )
+    splits = marked.groupBy("file", "split").agg(
+        F.max_by("ends", "turn").alias("ends"), F.min("end").alias("first_end")
+    )
+    around = written(
+        splits.select(
+            "file",
+            "split",
+            # Nothing before: the file's first magic.
+            F.coalesce(F.lag("ends").over(of_file), F.lit(True)).alias("split_after_end"),
+            F.last("first_end", ignorenulls=True).over(later).alias("later_end"),
+        ),
+        "split-borders",
+    )
+    return (
+        marked.join(around, ["file", "split"])
+        .where(F.coalesce("after_end", "split_after_end"))
+        .withColumn("header_end", F.coalesce("header_end", "later_end"))
+        .drop("end", "after_end", "split_after_end", "later_end", "ends")
+    )
+
+
 def _scan(spark: SparkSession, path: str) -> DataFrame:
     """What follows each magic, up to the next one; files are read in splits."""
     return (
@@ -131,6 +173,7 @@ def _scan(spark: SparkSession, path: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("split"),
             F.monotonically_increasing_id().alias("turn"),
             (F.octet_length("value") + len(MAGIC)).cast("long").alias("size"),
+            F.endswith("value", F.lit(RECORD_END)).alias("ends"),
             "value",
         )
     )
@@ -172,20 +215,21 @@ def _described(rows: DataFrame) -> DataFrame:
             "payload_bytes": F.octet_length("payload").cast("long"),
             "payload_digest": F.when(F.col("complete"), F.sha1("payload")),
         }
-    ).drop("header", "rest", "block", "skip")
+    ).drop("header", "block", "skip")
 
 
 FACTS = ("type", "id", "refers_to", "stated_digest", "payload_bytes", "payload_digest")
 
 
 def _reached(rows: DataFrame) -> DataFrame:
-    """The candidates on the chain that starts at byte 0 of their file.
+    """The candidates on the chain that starts at the first record of their file.
 
     Candidates that follow each other in a split are first drawn together: a
     segment runs from a head to the last row that the row before leads to, and is
     cut wherever another segment's exit lands. Pointers between segments are then
     doubled until no further head is reached; that takes the logarithm of the
-    number of segments in a file, which is about that of its splits.
+    number of segments in a file, which is about that of its splits. A segment
+    whose last row leads nowhere keeps its rows.
     """
     order = Window.partitionBy("file", "split").orderBy("turn")
     linked = written(
@@ -212,10 +256,11 @@ def _reached(rows: DataFrame) -> DataFrame:
         "segments",
     )
     segments = written(
-        headed.groupBy("file", "head").agg(F.max_by("next", "start").alias("to")).where("to IS NOT NULL"), "pointers"
+        headed.groupBy("file", "head").agg(F.max_by("next", "start").alias("to")), "pointers"
     )
     heads = segments.select("file", "head")
-    pointers, reached, count = segments, written(heads.where("head = 0"), "reached"), 0
+    first = headed.groupBy("file").agg(F.min("start").alias("head"))
+    pointers, reached, count = segments, written(first, "reached"), 0
     while (now := reached.count()) > count:
         count = now
         step = reached.join(pointers, ["file", "head"]).select("file", F.col("to").alias("head"))
@@ -230,7 +275,7 @@ def _reached(rows: DataFrame) -> DataFrame:
 
 
 def _reassembled(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame:
-    """Records whose payload holds the magic, joined again from their pieces.
+    """Records whose header or payload holds the magic, joined again from their pieces.
 
     Only the files that hold such records are read again. Pieces meet their record
     in buckets of offsets, so a file's records are spread over tasks.
@@ -242,13 +287,13 @@ def _reassembled(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame
         broken.select(
             "file",
             F.col("start").alias("record"),
-            "next",
+            F.col("next").alias("stop"),
             F.explode(F.sequence(F.floor(F.col("start") / bucket), F.floor(F.col("next") / bucket))).alias("bucket"),
         ),
         "broken-records",
     )
     met = pieces.withColumn("bucket", F.floor((F.col("offset") - len(MAGIC)) / bucket)).join(spans, ["file", "bucket"])
-    inside = met.where(f"offset - {len(MAGIC)} >= record AND offset < next")
+    inside = met.where(f"offset - {len(MAGIC)} >= record AND offset < stop")
     whole = inside.groupBy("file", "record").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("offset", "value"))), lambda piece: piece.value), MAGIC
@@ -257,23 +302,41 @@ def _reassembled(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame
     return _described(whole)
 
 
+def _next(start: Column) -> Column:
+    return start + len(MAGIC) + F.col("header_bytes") + F.col("declared") + 2 * len(RECORD_END)
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives below ``path``, whatever their payloads hold.
-
-    Every place with the magic is a candidate whose header says where the next
-    record starts; those that the chain from the file's first byte doesn't reach
-    are parts of payloads. Returns ``id``, ``type``, ``refers_to``, ``payload_bytes`` and
-    ``payload_digest`` (measured; for revisits those of the response they refer to,
-    and the stated digest), as strings and longs. A revisit without its response
-    has null bytes. A chain that ends early, in a damaged file, ends that file.
+    """The records of all archives below ``path``, whatever their headers and payloads hold.
+
+    Every place with the magic at a file's start or after a record's end is a candidate whose
+    header says where the next record starts; those that the chain from the file's first
+    magic doesn't reach are parts of payloads. Returns ``id``, ``type``, ``refers_to``,
+    ``payload_bytes`` and ``payload_digest`` (measured; for revisits those of the response they
+    refer to, and the stated digest), as strings and longs. A revisit without its
+    response has null bytes. Bytes before a file's first magic are skipped. Where a file is
+    damaged or cut off its chain ends: all whole records before that place are
+    returned, what stands after it is not.
     """
     rows = _placed(_described(_scan(spark, path)).drop("value", "payload"))
-    rows = rows.withColumn("start", F.col("offset") - len(MAGIC)).withColumn(
-        "next", F.col("offset") + F.col("header_bytes") + F.col("declared") + 2 * len(RECORD_END)
+    found = written(
+        _candidates(rows.withColumn("start", F.col("offset") - len(MAGIC))).withColumn("next", _next(F.col("start"))),
+        "described",
     )
-    real = written(_reached(rows), "records")
+    cut = written(
+        found.where("rest < 0 AND header_end IS NOT NULL").select("file", "split", "turn", "start", F.col("header_end").alias("next")),
+        "cut-headers",
+    )
+    if not cut.isEmpty():
+        joined = _reassembled(spark, path, cut.select("file", "start", "next")).select(
+            "file", F.col("record").alias("start"), _next(F.col("record")).alias("next"), "complete", *FACTS
+        )
+        kept = ["file", "split", "turn", "start", "next", "complete", *FACTS]
+        mended = cut.drop("next").join(joined, ["file", "start"]).select(kept)
+        found = written(found.join(cut, ["file", "start"], "left_anti").select(kept).union(mended), "mended")
+    real = written(_reached(found), "records")
     records = real.where("complete").select(*FACTS)
-    broken = written(real.where("NOT complete").select("file", "start", "next"), "broken")
+    broken = written(real.where("NOT complete AND next IS NOT NULL").select("file", "start", "next"), "broken")
     if not broken.isEmpty():
         records = written(
             records.union(_reassembled(spark, path, broken).where("complete").select(*FACTS)), "records"

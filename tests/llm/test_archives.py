@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +107,63 @@ def test_offsets_add_up_to_the_file(spark, tiny_splits):
     rows = archives._placed(archives._scan(spark, path)).collect()
     assert sorted(r.offset for r in rows) == [i + 7 for i in range(len(whole)) if whole[i : i + 7] == b"WARC/1."]
     assert spark.read.text(path).where(F.col("value").startswith("WARC-Type")).count() == 30
+
+
+def test_magic_in_addresses_and_ids(spark, tiny_splits):
+    rows = pages(11, 40)
+    addresses = ["http://x/WARC/1.1/spec", "WARC/1.", "u" * 900 + "WARC/1.WARC/1.1\r\n\r\nWARC/1.1", None, "http://x/plain"]
+    frame = spark.createDataFrame([(i, addresses[i % 5], x) for i, x in rows], "page_id long, url string, html string")
+    assert read(frame.coalesce(1)) == expected(rows)
+    assert read(frame.repartition(4)) == expected(rows)
+    named = spark.createDataFrame([(f"WARC/1.{i}", "u", x) for i, x in enumerate(["a", None, "b" * 3000])], "page_id string, url string, html string")
+    got = sorted((r.id, r.payload_bytes) for r in archives.archived(named).collect())
+    assert got == [("WARC/1.0", 1), ("WARC/1.1", 0), ("WARC/1.2", 3000)]
+
+
+def raw_archive(spark, tmp_path, name, change):
+    """An archive of five records as bytes, changed and written as one file."""
+    rows = [(i, f"http://x/{i}", c * 500) for i, c in enumerate("abcde")]
+    path = new_path(spark, "whole")
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archives.write_archives(archives.with_record_types(frame).coalesce(1), path)
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).first().content
+    folder = tmp_path / name
+    folder.mkdir()
+    (folder / "a.txt").write_bytes(change(bytes(whole)))
+    return sorted(int(r.id) for r in archives.read_archives(spark, str(folder)).collect())
+
+
+@pytest.mark.parametrize("cut", [2, 100, 480, 700, 800])
+def test_a_file_cut_off_keeps_its_whole_records(spark, tmp_path, cut):
+    assert raw_archive(spark, tmp_path, "cut", lambda whole: whole[:-cut]) == [0, 1, 2, 3]
+
+
+def test_bytes_before_the_first_record_and_damage_inside(spark, tmp_path):
+    assert raw_archive(spark, tmp_path, "junk", lambda whole: b"some \r\n\r\n junk" + whole) == [0, 1, 2, 3, 4]
+    third = lambda whole: whole.replace(b"Content-Length: 5", b"Content-Longth: 5", 5)
+    assert raw_archive(spark, tmp_path, "none", third) == []
+
+    def damaged(whole):
+        at = [i for i in range(len(whole)) if whole.startswith(b"WARC/1.", i)][3]
+        return whole[:at] + whole[at:].replace(b"Content-Length", b"Content-Longth", 2)
+
+    assert raw_archive(spark, tmp_path, "inside", damaged) == [0, 1, 2]
+
+
+def test_dates_are_utc_in_any_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        path = new_path(spark, "dated")
+        frame = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+        archives.write_archives(archives.with_record_types(frame), path)
+        line = spark.read.text(path).where(F.col("value").startswith("WARC-Date")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    stated = datetime.strptime(line.strip(), "WARC-Date: %Y-%m-%dT%H:%M:%SZ").replace(tzinfo=timezone.utc)
+    assert abs((datetime.now(timezone.utc) - stated).total_seconds()) < 600
+
+
+def test_a_very_long_payload(spark):
+    body = "long text WARC/1.1\r\n\r\n" * 30_000
+    frame = spark.createDataFrame([(1, "u", body), (2, "u", body), (3, "u", "x")], "page_id long, url string, html string")
+    assert read(frame) == expected([(1, body), (2, body), (3, "x")])
