@@ -427,6 +427,18 @@ ORACLES: dict[str, str] = {
         + sessionized("timed", PLAY_GAP),
         f"SELECT {SESSION} FROM sessions",
     ),
+    "session_stream": sql(
+        PLAY_SESSIONS,
+        "SELECT user_id, track_count, session_start, session_end, session_duration_seconds, session_duration_minutes "
+        f"FROM sessions WHERE session_end + INTERVAL {PLAY_GAP} MINUTE <= "
+        "(SELECT date_trunc('milliseconds', max(started_at)) - INTERVAL 1 HOUR FROM plays)",
+    ),
+    "prepared_rows": sql(
+        NORMALIZED
+        + ", timed AS (SELECT *, row_number() OVER () AS event_id FROM normalized)"
+        + sessionized("timed", PLAY_GAP),
+        "SELECT user_id, sum(track_count)::BIGINT AS plays, max(session_number)::BIGINT AS sessions FROM sessions GROUP BY user_id",
+    ),
     "session_summary_unnumbered": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
     "top_songs_session_join_many": sql(PLAY_SESSIONS, top_songs(MANY_SESSIONS)),
     "top_songs_from_rows": sql(PLAY_SESSIONS, top_songs(50)),

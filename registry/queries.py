@@ -22,6 +22,7 @@ from hiatus.sources import (
     stage_events,
     write_tsv,
 )
+from hiatus.streaming import read_event_files, write_closed_sessions
 from registry import fixtures
 from registry.scratch import scratch_path
 
@@ -200,6 +201,25 @@ def session_summary_second_gap(spark, sf_dir):
     return summarize_events(fixtures.plays(spark, sf_dir), 1 / 60)
 
 
+@query
+def session_stream(spark, sf_dir):
+    """The sessions that a stream of the event files has closed, as written by its sink."""
+    path = f"{sf_dir}/events.parquet"
+    files = read_event_files(spark, f"{path}*", spark.read.parquet(path).schema)  # a file or a folder
+    out = scratch_path(spark, "closed")
+    events = files.select("user_id", F.col("ts").alias("started_at"))
+    write_closed_sessions(events, out, scratch_path(spark, "state"), PLAY_GAP)
+    return spark.read.parquet(out)
+
+
+@query
+def prepared_rows(spark, sf_dir):
+    """Staged anew, with numbered rows, of which the users' sessions are counted."""
+    path = write_tsv(fixtures.raw_plays(spark, sf_dir), scratch_path(spark, "raw"), header=False, null_value="")
+    rows = prepare(spark, path, scratch_path(spark, "staged"), PLAY_GAP, refresh=True, with_rows=True).sessionized
+    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("plays"), F.max("session_number").alias("sessions"))
+
+
 @query
 def session_stats(spark, sf_dir):
     return profile.session_stats(_play_sessions(spark, sf_dir))
