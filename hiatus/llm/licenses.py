@@ -95,7 +95,8 @@ def scan_licenses(documents: DataFrame, text: str = "text") -> DataFrame:
     counts if it covers enough of the template in not much more words.
 
     Only matches are shuffled, with one row for each document, which carries its
-    other columns; a document's rows then stay in one task. Null and empty texts
+    other columns; a document's rows then stay in one task. Work and memory are in
+    proportion to the longest text. Null and empty texts
     have no words. Repeated rows each get their result. No rows give no rows.
     """
     ours = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "places", "score")
@@ -110,14 +111,27 @@ def scan_licenses(documents: DataFrame, text: str = "text") -> DataFrame:
     )
     size = F.size("_words")
     word = F.col("_words")
+    # A gram carries its own words, and the marker what belongs to the document, so that
+    # what the explode copies doesn't grow with the text.
+    marker = F.struct(
+        F.lit(-1).alias("pos"),
+        F.lit(0).cast("long").alias("gram"),
+        F.lit("").alias("said"),
+        F.struct(F.col(held), size.cast("long").alias("n_words")).alias("of"),
+    )
+    none = F.when(F.lit(False), marker["of"])
     grams = F.transform(
         F.when(size >= GRAM, F.sequence(F.lit(0), size - GRAM)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(i.alias("pos"), _gram(word[i], word[i + 1], word[i + 2]).alias("gram")),
+        lambda i: F.struct(
+            i.alias("pos"),
+            _gram(word[i], word[i + 1], word[i + 2]).alias("gram"),
+            F.concat_ws(" ", word[i], word[i + 1], word[i + 2]).alias("said"),
+            none.alias("of"),
+        ),
+    )
+    exploded = worded.select(row, F.explode(F.concat(F.array(marker), grams)).alias("_g")).select(
+        row, "_g.pos", "_g.gram", "_g.said", f"_g.of.{held}", "_g.of.n_words"
     )
-    marker = F.struct(F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("gram"))
-    exploded = worded.select(
-        row, held, "_words", F.explode(F.concat(F.array(marker), grams)).alias("_g")
-    ).select(row, held, "_words", "_g.pos", "_g.gram")
     templates = _template_grams(documents.sparkSession)
     markers = templates.limit(1).select(
         F.lit(-1).alias("template"),
@@ -130,16 +144,14 @@ def scan_licenses(documents: DataFrame, text: str = "text") -> DataFrame:
     )
     joined = exploded.join(F.broadcast(templates.union(markers)), "gram")
     marked = F.col("template") < 0
-
-    def equal(i: int) -> Column:
-        return F.translate(word[F.col("pos") + i], _UPPER, _LOWER) == F.col(f"t{i}")
+    equal = F.translate("said", _UPPER, _LOWER) == F.concat_ws(" ", *[f"t{i}" for i in range(GRAM)])
 
     matches = (
-        joined.where(F.when(marked, F.col("pos") < 0).otherwise((F.col("pos") >= 0) & equal(0) & equal(1) & equal(2)))
+        joined.where(F.when(marked, F.col("pos") < 0).otherwise((F.col("pos") >= 0) & equal))
         .select(
             row,
             F.when(marked, F.col(held)).alias(held),
-            F.when(marked, F.size("_words").cast("long")).alias("n_words"),
+            F.when(marked, F.col("n_words")).alias("n_words"),
             "template",
             "label",
             "exact",

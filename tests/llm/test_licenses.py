@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import re
+import time
+import re
 
 from hiatus.llm.licenses import NOTICES, PHRASES, scan_licenses
 
@@ -85,3 +87,17 @@ def test_no_python_in_the_plan(spark):
     frame = spark.createDataFrame([(1, "cc by nc")], "doc_id long, text string")
     plan = scan_licenses(frame)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_very_long_texts_take_time_in_proportion(spark):
+    def seconds(words):
+        text = "some words of no license " * (words // 5 - 10) + "Under the MIT license"
+        frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        started = time.perf_counter()
+        row = scan_licenses(frame).first()
+        assert (row.n_base, row.first_word, row.base_labels) == (1, (words // 5 - 10) * 5, "mit")
+        return time.perf_counter() - started
+
+    seconds(5_000)
+    short, long = seconds(80_000), seconds(320_000)
+    assert long < 4.5 * max(short, 1.0)
