@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 import re
 import time
-import re
 
 from hiatus.llm.licenses import NOTICES, PHRASES, scan_licenses
 
