@@ -1,25 +1,38 @@
-"""Finding benchmark passages in documents by a prefix-filtered set join."""
+"""Finding benchmark passages in documents by a prefix-filtered set join.
+
+A window of the benchmark is the set of its shingles (three consecutive words, or the
+whole window if it is shorter), ordered by how rarely the documents hold them. A
+document that contains the window holds all of them, so the prefix that has to be
+joined is the rarest shingle alone. The join is Spark's, on that shingle; length and
+position bounds and a comparison of the words around it follow.
+"""
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hiatus.llm.tables import fresh, text_bytes
+from hiatus.llm.tables import discard, fresh, text_bytes, written
 
 WINDOW_WORDS = 10
-#: Bytes of benchmark text that one index holds; more text makes more indexes,
-#: and the documents are read once for each.
-INDEX_BYTES = 16 << 20
+SHINGLE_WORDS = 3
+#: A filter has 16 bits for each of its values, and at most these many (32 MB). With
+#: more values it lets more rows pass to the join, which decides.
+FILTER_BITS = 1 << 28
+_SEGMENT_BITS = 18  # a filter is put together in segments of 32 KB
+_CACHED_WORDS = 1 << 18
+_ROWS = 20_000  # rows of a batch sent back by a task
 
 _WORD_BYTES = bytes(
     b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20
     for b in range(256)
 )
+_BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
 
 def words(text: bytes) -> list[bytes]:
@@ -27,82 +40,208 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
-def windows(text: bytes, size: int) -> set[tuple[bytes, ...]]:
-    """The windows of an item; one of fewer words, but not none, is one window."""
-    found = words(text)
-    if not found:
-        return set()
-    return {tuple(found[i : i + size]) for i in range(max(1, len(found) - size + 1))}
+def word_count(text: str) -> Column:
+    """How many words :func:`words` finds: one character is kept of each."""
+    trimmed = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), f"^[{_BETWEEN}]+", "")
+    return F.char_length(F.regexp_replace(trimmed, f"[^{_BETWEEN}]+[{_BETWEEN}]*", "w")).cast("long")
+
+
+class Hashes(dict):
+    """64-bit hashes of words, of which a bounded number is remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _CACHED_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+    def of(self, found: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+
+
+def shingle_hashes(hashed: np.ndarray, length: int) -> np.ndarray:
+    """A hash for each run of ``length`` words; runs of other lengths hash apart."""
+    count = max(0, len(hashed) - length + 1)
+    total = np.full(count, length, np.uint64)
+    for i in range(length):
+        total = (total ^ hashed[i : i + count]) * np.uint64(0x9E3779B97F4A7C15)
+        total ^= total >> np.uint64(29)
+    return total.view(np.int64)
+
+
+class Filter:
+    """A Bloom filter over 64-bit hashes with two bits for each."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+        self.mask = np.uint64(len(bits) * 8 - 1)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        values = hashes.view(np.uint64)
+        found = np.ones(len(values), bool)
+        for place in (values & self.mask, (values >> np.uint64(32)) & self.mask):
+            found &= (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return found
 
 
-def vocabulary_counts(documents: DataFrame, text: str, vocabulary) -> DataFrame:
-    """How often each benchmark word stands in the documents."""
+def filter_of(values: DataFrame, most: int = FILTER_BITS) -> Filter:
+    """The filter of a column of longs, put together in segments by tasks.
+
+    Its size is a power of two of at most ``most`` bits; segments hold distinct
+    bits, so neither a task nor the driver gets more than that.
+    """
+    (name,) = values.columns
+    wanted = 16 * (values.agg(F.approx_count_distinct(name)).first()[0] or 0)
+    size = min(most, 1 << max(6, wanted.bit_length()))
+    mask = F.lit(size - 1).cast("long")
+    places = values.select(
+        F.explode(F.array(F.col(name).bitwiseAND(mask), F.shiftrightunsigned(name, 32).bitwiseAND(mask))).alias("place")
+    ).distinct()
+    held = min(size, 1 << _SEGMENT_BITS)
+
+    def segment(key: tuple[int, ...], rows: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(held, np.uint8)
+        flags[(rows["place"].to_numpy() % held)] = 1
+        return pd.DataFrame({"segment": [key[0]], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    parts = places.groupBy(F.floor(F.col("place") / held).cast("long").alias("segment")).applyInPandas(
+        segment, "segment long, bits binary"
+    )
+    bits = np.zeros(size // 8, np.uint8)
+    for row in parts.collect():
+        bits[row.segment * held // 8 : (row.segment + 1) * held // 8] = np.frombuffer(row.bits, np.uint8)
+    return Filter(bits)
+
+
+def benchmark_windows(benchmark: DataFrame, item: str, text: str, size: int) -> DataFrame:
+    """Every window of every item: its words (one space around each), its shingles' hashes
+    and the bytes before each shingle. An item of fewer words, but not none, is one window.
+    """
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, rows = Hashes(), []
+        for batch in batches:
+            for name, content in zip(batch["item"], batch["text"], strict=True):
+                found = words(content)
+                if not found:
+                    continue
+                held = min(size, len(found))
+                length = min(SHINGLE_WORDS, held)
+                shingles = shingle_hashes(hashes.of(found), length)
+                before = np.concatenate(([0], np.cumsum([len(word) + 1 for word in found])))
+                for i in range(len(found) - held + 1):
+                    last = i + held - length + 1
+                    window = b" " + b" ".join(found[i : i + held]) + b" "
+                    rows.append((name, window, held, shingles[i:last], before[i:last] - before[i]))
+                    if len(rows) == _ROWS:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+
+    columns = ["item", "window", "n_window", "shingles", "before"]
+    named = F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item")
+    return (
+        benchmark.select(named, text_bytes(text).alias("text"))
+        .mapInPandas(cut, "item string, window binary, n_window int, shingles array<long>, before array<int>")
+        .withColumn("window_id", F.unhex(F.md5("window")))
+    )
+
+
+def shingle_counts(documents: DataFrame, text: str, lengths: list[int], known) -> DataFrame:
+    """How often the documents hold each shingle that passes a filter."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order = {word: place for place, word in enumerate(vocabulary.value)}
-        totals: Counter = Counter()
+        hashes = Hashes()
         for batch in batches:
+            passed = [np.empty(0, np.int64)]
             for content in batch["text"]:
-                totals.update([word for word in words(content) if word in order])
-        yield pd.DataFrame({"place": [order[w] for w in totals], "n": list(totals.values())}, dtype="int64")
+                hashed = hashes.of(words(content))
+                for length in lengths:
+                    shingles = shingle_hashes(hashed, length)
+                    passed.append(shingles[known.value.has(shingles)])
+            found, n = np.unique(np.concatenate(passed), return_counts=True)
+            yield pd.DataFrame({"shingle": found, "n": n})
 
     return (
         documents.select(text_bytes(text).alias("text"))
-        .mapInPandas(count, "place long, n long")
-        .groupBy("place")
+        .mapInPandas(count, "shingle long, n long")
+        .groupBy("shingle")
         .agg(F.sum("n").alias("n"))
     )
 
 
-class Index:
-    """Windows by their rarest word, which every document that holds one must hold.
+def places_in_documents(
+    documents: DataFrame, text: str, lengths: list[int], known, size: int, longest: int
+) -> DataFrame:
+    """Where texts hold a shingle that passes a filter, with the words before and from there.
 
-    A window must be contained whole, so of its words in order of rarity the
-    prefix that has to be joined is the first word alone. Each entry keeps the
-    word's position in the window and the words that must follow and precede it.
+    Texts are named by their digest, so that copies of a text are searched once. The
+    words around a place are cut at the bytes of the longest window.
     """
 
-    def __init__(self, items: list[tuple[int, bytes]], size: int):
-        self.items_of: dict[tuple[bytes, ...], list[int]] = {}
-        for place, content in items:
-            for window in windows(content, size):
-                self.items_of.setdefault(window, []).append(place)
-        self.vocabulary = sorted({word for window in self.items_of for word in window})
-        self.by_word: dict[bytes, list[tuple[int, int, tuple[bytes, ...], list[int]]]] = {}
-
-    def order(self, counts: dict[bytes, int]) -> None:
-        """Files each window under its rarest word by the documents' counts."""
-        for window, places in self.items_of.items():
-            at = min(range(len(window)), key=lambda i: (counts.get(window[i], 0), window[i], i))
-            self.by_word.setdefault(window[at], []).append((at, len(window), window, places))
-        self.items_of = {}
-
-    def hits(self, text: bytes) -> tuple[int, list[tuple[int, int]], set[int]]:
-        """Words of a text, the windows' places (start, end), and their items."""
-        found = words(text)
-        count, by_word = len(found), self.by_word
-        spans, items = [], set()
-        if by_word.keys().isdisjoint(found):
-            return count, spans, items
-        for place, word in [(place, word) for place, word in enumerate(found) if word in by_word]:
-            for at, size, window, places in by_word[word]:
-                start = place - at
-                if start < 0 or start + size > count:  # no room on one side
-                    continue
-                if tuple(found[start : start + size]) == window:
-                    spans.append((start, start + size))
-                    items.update(places)
-        return count, spans, items
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, rows = Hashes(), []
+        for batch in batches:
+            for digest, content in zip(batch["digest"], batch["text"], strict=True):
+                found = words(content)
+                hashed = hashes.of(found)
+                for length in lengths:
+                    shingles = shingle_hashes(hashed, length)
+                    for place in np.flatnonzero(known.value.has(shingles)).tolist():
+                        left = b"".join([b" " + word for word in found[max(0, place - size + length) : place]])
+                        right = b" " + b" ".join(found[place : place + size]) + b" "
+                        rows.append(
+                            (digest, shingles[place], place, len(found), left[-longest:], right[:longest])
+                        )
+                        if len(rows) == _ROWS:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+
+    columns = ["digest", "shingle", "place", "n_words", "left", "right"]
+    return (
+        documents.select(_digest(text).alias("digest"), text_bytes(text).alias("text"))
+        .mapInPandas(find, "digest binary, shingle long, place int, n_words int, left binary, right binary")
+        .distinct()
+    )
+
+
+def _digest(text: str) -> Column:
+    return F.unhex(F.sha2(text_bytes(text), 256))
 
 
-def _indexes(benchmark: DataFrame, item: str, text: str, bound: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The benchmark's items in parts of about ``bound`` bytes, read one by one."""
-    sized = benchmark.select(F.col(item).cast("string").alias("item"), text_bytes(text).alias("text"))
-    total = sized.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    parts = max(1, -(-total // bound))
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
-    for number in range(parts):
-        yield [(row.item, bytes(row.text)) for row in sized.where(part == number).collect()]
+def _rarest(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Windows under their rarest shingle; one that no document holds rules its window out."""
+    each = windows.select("window_id", F.posexplode("shingles").alias("at", "shingle"))
+    chosen = (
+        each.join(counts, "shingle", "left")
+        .groupBy("window_id")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "at")).alias("rarest"))
+        .where("rarest.n > 0")
+        .select("window_id", "rarest.shingle", "rarest.at")
+    )
+    ahead = F.get("before", F.col("at"))
+    return windows.join(chosen, "window_id").select(
+        "window_id",
+        "shingle",
+        "at",
+        "n_window",
+        F.substring("window", F.lit(1), ahead).alias("window_left"),
+        F.substring("window", ahead + 1, F.octet_length("window")).alias("window_right"),
+    )
+
+
+def _found(places: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Windows that texts contain whole: room on both sides, then equal words."""
+    start = F.col("place") - F.col("at")
+    return (
+        places.join(chosen, "shingle")
+        .where((start >= 0) & (start + F.col("n_window") <= F.col("n_words")))
+        .where(F.endswith("left", F.col("window_left")) & F.startswith("right", F.col("window_right")))
+        .select("digest", "window_id", F.struct(start.alias("start"), (start + F.col("n_window")).alias("end")).alias("span"))
+    )
 
 
 def contamination(
@@ -112,7 +251,7 @@ def contamination(
     item: str = "item_id",
     item_text: str = "text",
     size: int = WINDOW_WORDS,
-    index_bytes: int = INDEX_BYTES,
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Every document with what it shares with the benchmark.
 
@@ -121,50 +260,66 @@ def contamination(
     columns of these names. Null and empty texts have no words. Items without words
     match nothing; an item without an id is listed as the empty string; repeated
     ids are listed once. Repeated rows each get their result. An empty benchmark
-    finds nothing; no documents give no rows.
+    finds nothing; no documents give no rows. Very long texts and items are read by
+    one task each, which sends back their places and windows in batches.
 
-    The benchmark is read in parts of bounded size, each broadcast as an index.
+    Three reads of the documents: shingles are counted, places of the chosen ones
+    joined, results attached. Only filters of at most ``filter_bits`` bits are
+    broadcast beside what Spark's joins find small, and only documents that pass the
+    filter of the texts found take part in the last join.
     """
-    out = documents.drop(*[c for c in ("n_words", "spans", "items") if c != text])
-    kept = out.columns
-    hit = fresh(out, "_hits")
-    parts = []
-    for number, rows in enumerate(_indexes(benchmark, item, item_text, index_bytes)):
-        index = Index([(place, content) for place, (_, content) in enumerate(rows)], size)
-        out = out.withColumn(f"{hit}{number}", _search(documents, text, index, [name or "" for name, _ in rows]))
-        parts.append(F.col(f"{hit}{number}"))
-    spans = F.array_distinct(F.concat(*[F.arrays_zip(p.starts.alias("start"), p.ends.alias("end")) for p in parts]))
-    return out.select(
-        *[F.col(c) for c in kept if c not in ("n_words", "spans", "items")],
-        parts[0].n_words.alias("n_words"),
-        spans.alias("spans"),
-        F.array_sort(F.array_distinct(F.concat(*[p["items"] for p in parts]))).alias("items"),
+    context = documents.sparkSession.sparkContext
+    cut = written(benchmark_windows(benchmark, item, item_text, size), "benchmark-windows")
+    windows = cut.drop("item").dropDuplicates(["window_id"])
+    bounds = cut.agg(
+        F.collect_set(F.least("n_window", F.lit(SHINGLE_WORDS))).alias("lengths"),
+        F.max(F.octet_length("window")).alias("longest"),
+    ).first()
+    lengths = sorted(bounds.lengths)
+    known = context.broadcast(filter_of(cut.select(F.explode("shingles").alias("shingle")), filter_bits))
+    counts = shingle_counts(documents, text, lengths, known)
+    chosen = written(_rarest(windows, counts), "rarest-shingles")
+    known = context.broadcast(filter_of(chosen.select("shingle"), filter_bits))
+    places = places_in_documents(documents, text, lengths, known, size, bounds.longest or 1)
+    hits = written(_found(places, chosen), "windows-found")
+    named = hits.select("digest", "window_id").distinct().join(cut.select("window_id", "item").distinct(), "window_id")
+    none = F.lit(None)
+    both = hits.select("digest", "span", none.cast("string").alias("item")).unionByName(
+        named.select("digest", none.cast(hits.schema["span"].dataType).alias("span"), "item")
     )
+    results = written(
+        both.groupBy("digest").agg(
+            F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items")
+        ),
+        "contamination",
+    )
+    for table in (hits, chosen, cut):
+        discard(table)
+    return _attached(documents, results, text, filter_bits)
 
 
-def _search(documents: DataFrame, text: str, index: Index, names: list[str]):
-    context = documents.sparkSession.sparkContext
-    counts = {}
-    if index.vocabulary:
-        vocabulary = context.broadcast(index.vocabulary)
-        counts = {index.vocabulary[r.place]: r.n for r in vocabulary_counts(documents, text, vocabulary).collect()}
-    index.order(counts)
-    shared = context.broadcast((index, names))
-
-    @F.pandas_udf("n_words long, starts array<int>, ends array<int>, items array<string>")
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        found, ids = shared.value
-        for batch in batches:
-            rows = []
-            for content in batch:
-                count, spans, items = found.hits(content)
-                spans = sorted(set(spans))
-                rows.append(
-                    (count, [a for a, _ in spans], [b for _, b in spans], sorted({ids[i] for i in items}))
-                )
-            yield pd.DataFrame(rows, columns=["n_words", "starts", "ends", "items"])
-
-    return search(text_bytes(text))
+def _attached(documents: DataFrame, results: DataFrame, text: str, filter_bits: int) -> DataFrame:
+    """The documents with their results; texts that can't have any are not shuffled."""
+    known = documents.sparkSession.sparkContext.broadcast(
+        filter_of(results.select(F.xxhash64("digest").alias("digest")), filter_bits)
+    )
+
+    @F.pandas_udf("boolean")
+    def perhaps(hashed: pd.Series) -> pd.Series:
+        return pd.Series(known.value.has(hashed.to_numpy(np.int64)))
+
+    digest, maybe = fresh(documents, "_digest"), fresh(documents, "_perhaps")
+    taken = ("n_words", "spans", "items")
+    kept = [F.col(name) for name in documents.columns if name not in taken]
+    rows = documents.select(
+        *kept, word_count(text).alias("n_words"), _digest(text).alias(digest)
+    ).withColumn(maybe, perhaps(F.xxhash64(digest)))
+    found = results.withColumnRenamed("digest", digest)
+    spans, items = (F.lit(F.array()).cast(found.schema[name].dataType) for name in ("spans", "items"))
+    clean = rows.where(~F.col(maybe)).withColumns({"spans": spans, "items": items})
+    joined = rows.where(F.col(maybe)).join(found, digest, "left")
+    joined = joined.withColumns({"spans": F.coalesce("spans", spans), "items": F.coalesce("items", items)})
+    return clean.unionByName(joined).drop(digest, maybe)
 
 
 def hit_words(spans: str = "spans"):

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import math
+import random
+import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from hiatus.llm.decontamination import contamination, hit_words
+from hiatus.llm.decontamination import contamination, filter_of, hit_words
 from hiatus.llm.mixing import copies, mix, poisson
 from hiatus.llm.toxicity import toxicity
 
 
-def test_contamination_of_odd_rows_with_small_indexes(spark):
+def test_contamination_of_odd_rows_with_small_filters(spark):
     item = " ".join(f"w{i}" for i in range(12))
     benchmark = spark.createDataFrame(
         [(1, item), (1, item), (2, "Short One"), (3, None), (None, "nameless"), (4, "")], "item_id long, text string"
@@ -21,8 +24,8 @@ def test_contamination_of_odd_rows_with_small_indexes(spark):
          (4, " ".join(f"w{i}" for i in range(9)), "d"), (5, "a nameless text", "e")],
         "doc_id long, text string, items string",
     )
-    for bound in (16 << 20, 200):
-        rows = contamination(documents, benchmark, index_bytes=bound).withColumn("n_hit", hit_words()).collect()
+    for bits in (1 << 20, 64):
+        rows = contamination(documents, benchmark, filter_bits=bits).withColumn("n_hit", hit_words()).collect()
         assert sorted((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in rows) == [
             (1, 14, 12, ["1"]), (2, 0, 0, []), (2, 0, 0, []), (3, 4, 4, ["2"]), (4, 9, 0, []), (5, 3, 1, [""])
         ]
@@ -30,6 +33,50 @@ def test_contamination_of_odd_rows_with_small_indexes(spark):
     assert contamination(documents, benchmark.limit(0)).where(F.size("spans") > 0).count() == 0
 
 
+def test_contamination_of_frequent_words_against_brute_force(spark):
+    draw = random.Random(3)
+
+    def prose(count):
+        return " ".join(draw.choices(["a", "b", "C", "dé", "e"], k=count))
+
+    texts = [prose(draw.randint(0, 60)) for _ in range(80)]
+    items = [prose(n) for n in (1, 2, 3, 4, 5, 6, 7, 40)] + [texts[5], texts[6] + " " + texts[7], "", None, "zz a b"]
+    texts += [f"x {items[7]}; {prose(3)}"] * 4 + [prose(30_000), "a" * 100_000 + " " + items[7], "", None]
+    size = 6
+
+    def cut(text):
+        return re.findall("[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
+
+    windows = {}
+    for item, text in enumerate(items):
+        found = cut(text)
+        for i in range(max(1, len(found) - size + 1) if found else 0):
+            windows.setdefault(tuple(found[i : i + size]), set()).add(str(item))
+    expected = []
+    for doc, text in enumerate(texts):
+        found, spans, ids = cut(text), set(), set()
+        for n in range(1, size + 1):
+            for i in range(len(found) - n + 1):
+                if tuple(found[i : i + n]) in windows:
+                    spans.add((i, i + n))
+                    ids |= windows[tuple(found[i : i + n])]
+        expected.append((doc, len(found), sorted(spans), sorted(ids)))
+    documents = spark.createDataFrame(list(enumerate(texts)), "_digest int, text string").repartition(5)
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    for bits in (1 << 24, 64):
+        rows = contamination(documents, benchmark, size=size, filter_bits=bits).collect()
+        assert sorted((r["_digest"], r.n_words, [tuple(s) for s in r.spans], r["items"]) for r in rows) == expected
+
+
+def test_filter_holds_all_and_little_else(spark):
+    values = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 40_000)
+    held, others = values[:30_000], values[30_000:]
+    frame = spark.createDataFrame([(int(v),) for v in held], "value long")
+    assert filter_of(frame).has(held).all() and filter_of(frame).has(others).mean() < 0.05
+    assert filter_of(frame, 1 << 12).has(held).all()
+    assert not filter_of(frame.limit(0)).has(others).any()
+
+
 def test_poisson_inverse_matches_the_sums(spark):
     cases = [(rate, unit) for rate in (0.01, 0.7, 3.0, 80.0) for unit in (0.0005, 0.3, 0.5, 0.9, 0.9995)]
     frame = spark.createDataFrame(cases, "rate double, unit double")
