@@ -10,12 +10,13 @@ position bounds and a comparison of the words around it follow.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hiatus.llm.tables import discard, fresh, text_bytes, written
 
@@ -25,14 +26,15 @@ SHINGLE_WORDS = 3
 #: more values it lets more rows pass to the join, which decides.
 FILTER_BITS = 1 << 28
 _SEGMENT_BITS = 18  # a filter is put together in segments of 32 KB
-_CACHED_WORDS = 1 << 18
 _ROWS = 20_000  # rows of a batch sent back by a task
+_BLOCK_BYTES = 1 << 19  # texts are hashed together, and long ones cut, at about this size
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 _WORD_BYTES = bytes(
     b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20
     for b in range(256)
 )
-_BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
 
 def words(text: bytes) -> list[bytes]:
@@ -40,23 +42,44 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
-def word_count(text: str) -> Column:
-    """How many words :func:`words` finds: one character is kept of each."""
-    trimmed = F.regexp_replace(F.coalesce(F.col(text).cast("string"), F.lit("")), f"^[{_BETWEEN}]+", "")
-    return F.char_length(F.regexp_replace(trimmed, f"[^{_BETWEEN}]+[{_BETWEEN}]*", "w")).cast("long")
+_IN_WORD = np.frombuffer(_WORD_BYTES, np.uint8) != 0x20
 
 
-class Hashes(dict):
-    """64-bit hashes of words, of which a bounded number is remembered."""
+@F.pandas_udf(T.LongType())
+def word_count(contents: pd.Series) -> pd.Series:
+    """How many words :func:`words` finds: bytes of a word that follow none."""
+    counts = []
+    for content in contents:
+        inside = _IN_WORD[np.frombuffer(content, np.uint8)]
+        counts.append(np.count_nonzero(inside[1:] > inside[:-1]) + int(inside[:1].sum()))
+    return pd.Series(counts, dtype="int64")
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
 
-    def of(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
+
+
+def word_hashes(cleaned: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a translated text begin, and a 64-bit hash of each.
+
+    A word's hash is a polynomial in its bytes, taken from sums up to its ends. Texts
+    are cut into blocks between words.
+    """
+    begins, hashes, first = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+    while first < len(cleaned):
+        last = cleaned.find(b" ", first + _BLOCK_BYTES)
+        block = np.frombuffer(cleaned[first : last if last >= 0 else len(cleaned)], np.uint8)
+        edges = np.flatnonzero(np.diff(block != 0x20, prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        size = 1 << max(20, len(block).bit_length())
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(block * _powers(_BASE, size)[: len(block)])))
+        begins.append(starts + first)
+        hashes.append((sums[ends] - sums[starts]) * _powers(_INVERSE, size)[starts])
+        first += len(block)
+    return np.concatenate(begins), np.concatenate(hashes)
 
 
 def shingle_hashes(hashed: np.ndarray, length: int) -> np.ndarray:
@@ -119,7 +142,7 @@ def benchmark_windows(benchmark: DataFrame, item: str, text: str, size: int) ->
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, rows = Hashes(), []
+        rows = []
         for batch in batches:
             for name, content in zip(batch["item"], batch["text"], strict=True):
                 found = words(content)
@@ -127,7 +150,7 @@ def benchmark_windows(benchmark: DataFrame, item: str, text: str, size: int) ->
                     continue
                 held = min(size, len(found))
                 length = min(SHINGLE_WORDS, held)
-                shingles = shingle_hashes(hashes.of(found), length)
+                shingles = shingle_hashes(word_hashes(content.translate(_WORD_BYTES))[1], length)
                 before = np.concatenate(([0], np.cumsum([len(word) + 1 for word in found])))
                 for i in range(len(found) - held + 1):
                     last = i + held - length + 1
@@ -148,18 +171,46 @@ def benchmark_windows(benchmark: DataFrame, item: str, text: str, size: int) ->
     )
 
 
+class Piece:
+    """Some texts one after another, and where their shingles pass a filter."""
+
+    def __init__(self, texts: list[bytes]):
+        self.texts = texts
+        starts, self.hashed = word_hashes(b" ".join([text.translate(_WORD_BYTES) for text in texts]))
+        self.ends = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in texts]))
+
+    def passing(self, length: int, known: Filter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text numbers, places in these texts and hashes of shingles that lie in one text."""
+        shingles = shingle_hashes(self.hashed, length)
+        places = np.flatnonzero(known.has(shingles))
+        text = np.searchsorted(self.ends, places, "right")
+        within = places + length <= self.ends[text] if len(places) else places == 0
+        places, text = places[within], text[within]
+        first = np.concatenate(([0], self.ends))[text]
+        return text, places - first, shingles[places]
+
+
+def pieces(contents: pd.Series) -> Iterator[tuple[int, Piece]]:
+    """A batch's texts in pieces, each with the number of its first text."""
+    held, size, first = [], 0, 0
+    for number, content in enumerate(contents):
+        held.append(content)
+        size += len(content)
+        if size >= _BLOCK_BYTES:
+            yield first, Piece(held)
+            held, size, first = [], 0, number + 1
+    if held:
+        yield first, Piece(held)
+
+
 def shingle_counts(documents: DataFrame, text: str, lengths: list[int], known) -> DataFrame:
     """How often the documents hold each shingle that passes a filter."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = Hashes()
         for batch in batches:
             passed = [np.empty(0, np.int64)]
-            for content in batch["text"]:
-                hashed = hashes.of(words(content))
-                for length in lengths:
-                    shingles = shingle_hashes(hashed, length)
-                    passed.append(shingles[known.value.has(shingles)])
+            for _, piece in pieces(batch["text"]):
+                passed += [piece.passing(length, known.value)[2] for length in lengths]
             found, n = np.unique(np.concatenate(passed), return_counts=True)
             yield pd.DataFrame({"shingle": found, "n": n})
 
@@ -181,18 +232,20 @@ def places_in_documents(
     """
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, rows = Hashes(), []
+        rows = []
         for batch in batches:
-            for digest, content in zip(batch["digest"], batch["text"], strict=True):
-                found = words(content)
-                hashed = hashes.of(found)
+            digests = batch["digest"].tolist()
+            for first, piece in pieces(batch["text"]):
                 for length in lengths:
-                    shingles = shingle_hashes(hashed, length)
-                    for place in np.flatnonzero(known.value.has(shingles)).tolist():
+                    passing = piece.passing(length, known.value)
+                    found, of = [], -1
+                    for number, place, shingle in zip(*[part.tolist() for part in passing], strict=True):
+                        if number != of:
+                            found, of = words(piece.texts[number]), number
                         left = b"".join([b" " + word for word in found[max(0, place - size + length) : place]])
                         right = b" " + b" ".join(found[place : place + size]) + b" "
                         rows.append(
-                            (digest, shingles[place], place, len(found), left[-longest:], right[:longest])
+                            (digests[first + number], shingle, place, len(found), left[-longest:], right[:longest])
                         )
                         if len(rows) == _ROWS:
                             yield pd.DataFrame(rows, columns=columns)
@@ -312,7 +365,7 @@ def _attached(documents: DataFrame, results: DataFrame, text: str, filter_bits:
     taken = ("n_words", "spans", "items")
     kept = [F.col(name) for name in documents.columns if name not in taken]
     rows = documents.select(
-        *kept, word_count(text).alias("n_words"), _digest(text).alias(digest)
+        *kept, word_count(text_bytes(text)).alias("n_words"), _digest(text).alias(digest)
     ).withColumn(maybe, perhaps(F.xxhash64(digest)))
     found = results.withColumnRenamed("digest", digest)
     spans, items = (F.lit(F.array()).cast(found.schema[name].dataType) for name in ("spans", "items"))

@@ -9,7 +9,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from hiatus.llm.decontamination import contamination, filter_of, hit_words
+from hiatus.llm.decontamination import contamination, filter_of, hit_words, word_hashes
 from hiatus.llm.mixing import copies, mix, poisson
 from hiatus.llm.toxicity import toxicity
 
@@ -68,6 +68,17 @@ def test_contamination_of_frequent_words_against_brute_force(spark):
         assert sorted((r["_digest"], r.n_words, [tuple(s) for s in r.spans], r["items"]) for r in rows) == expected
 
 
+def test_words_hash_alike_wherever_they_stand():
+    draw = random.Random(9)
+    found = [draw.randbytes(draw.randint(1, 12)).hex().encode() for _ in range(150_000)]
+    found += found[:50] + [b"x" * 2_000_000, b"y"] + found[-50:]
+    cleaned = b"  " + b" ".join(found) + b" "
+    starts, hashed = word_hashes(cleaned)
+    assert [cleaned[s : s + len(w)] for s, w in zip(starts.tolist(), found, strict=True)] == found
+    assert len({*zip(found, hashed.tolist(), strict=True)}) == len(set(found)) == len(set(hashed.tolist()))
+    assert [len(part) for part in word_hashes(b" ")] == [len(part) for part in word_hashes(b"")] == [0, 0]
+
+
 def test_filter_holds_all_and_little_else(spark):
     values = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 40_000)
     held, others = values[:30_000], values[30_000:]
