@@ -227,7 +227,7 @@ def places_in_documents(
 ) -> DataFrame:
     """Where texts hold a shingle that passes a filter, with the words before and from there.
 
-    Texts are named by their digest, so that copies of a text are searched once. The
+    Texts are named by their digest, so that copies of a text are joined once. The
     words around a place are cut at the bytes of the longest window.
     """
 
