@@ -14,7 +14,8 @@ rows per user however many events there are: 26,280 a year at 20 minutes.
 With gaps so small that nearly every event is a slice of its own, slices are
 numbered inside blocks of 512, blocks inside blocks of 512 blocks, and so on until
 blocks are wide enough for the per-user window. That window's length then
-depends on the time span alone, whatever the gap.
+depends on the time span alone, whatever the gap. The events are read once: every
+level starts from the shuffle of the one below, which Spark reuses.
 """
 
 from __future__ import annotations
@@ -42,7 +43,10 @@ CUTS = 64
 _PLACE = ("_block", "_cell", "_part")
 
 def session_slices(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES) -> DataFrame:
-    """One row per (user, non-empty slice), numbered with the session it belongs to."""
+    """One row per (user, non-empty slice), numbered with the session it belongs to.
+
+    ``events_before`` is the number of the user's events in earlier slices.
+    """
     gap = gap_to_micros(gap_minutes)
     slices = (
         events.filter(F.col("started_at").isNotNull())
@@ -61,14 +65,20 @@ def _numbered(slices: DataFrame, width: int, gap: int) -> DataFrame:
 
     ``boundaries`` are the session starts in a slice other than at its first event.
     Narrow slices are numbered inside wider blocks, which are numbered in the same
-    way; what precedes a block then completes the numbers of its slices.
+    way; what precedes a block then completes the numbers of its slices. Slices and
+    their blocks need the same columns, and no filter is derived from a null-safe join,
+    so both come from one shuffle and the events are not read again.
     """
     opens = _opens("first_event", "previous_event", gap)
     if width >= USER_WINDOW_MICROS:
         in_time = Window.partitionBy("user_id").orderBy("slice_start")
         started = F.sum(opens + F.col("boundaries")).over(_up_to_here(in_time))
         return slices.withColumn("previous_event", F.lag("last_event").over(in_time)).withColumns(
-            {"opens_session": opens, "session_number": started - F.col("boundaries")}
+            {
+                "opens_session": opens,
+                "session_number": started - F.col("boundaries"),
+                "events_before": _events_before(in_time),
+            }
         )
 
     wider = width * SLICES_PER_BLOCK
@@ -82,15 +92,17 @@ def _numbered(slices: DataFrame, width: int, gap: int) -> DataFrame:
         .withColumn("previous_event", F.lag("last_event").over(in_block))
         .withColumn("opens_session", later)
         .withColumn("session_number", started - F.col("boundaries"))
+        .withColumn("events_before", _events_before(in_block))
     )
     blocks = inside.groupBy("user_id", F.col("block").alias("slice_start")).agg(
+        F.sum("track_count").alias("track_count"),
         F.min("first_event").alias("first_event"),
         F.max("last_event").alias("last_event"),
         F.sum(F.col("opens_session") + F.col("boundaries")).alias("boundaries"),
     )
     around = _numbered(blocks, wider, gap)
     same_block = F.col("inside.user_id").eqNullSafe(F.col("around.user_id")) & (
-        F.col("inside.block") == F.col("around.slice_start")
+        F.col("inside.block").eqNullSafe(F.col("around.slice_start"))
     )
     at_edge = F.col("inside.previous_event").isNull()
     return (
@@ -103,17 +115,27 @@ def _numbered(slices: DataFrame, width: int, gap: int) -> DataFrame:
             .otherwise(F.col("inside.opens_session"))
             .alias("opens_session"),
             (F.col("around.session_number") + F.col("inside.session_number")).alias("session_number"),
+            (F.col("around.events_before") + F.col("inside.events_before")).alias("events_before"),
         )
     )
 
 
+def _events_before(ordered: WindowSpec) -> Column:
+    return F.sum("track_count").over(_up_to_here(ordered)) - F.col("track_count")
+
+
+def _events_in() -> Column:
+    """The events of a user's consecutive slices, from where they begin and end in its history."""
+    return F.max(F.col("events_before") + F.col("track_count")) - F.min("events_before")
+
+
 def summarize_events(events: DataFrame, gap_minutes: float = DEFAULT_GAP_MINUTES) -> DataFrame:
     """One row per session, straight from events; needs only user and time columns."""
     merged = (
         session_slices(events, gap_minutes)
         .groupBy("user_id", "session_number")
         .agg(
-            F.sum("track_count").alias("track_count"),
+            _events_in().alias("track_count"),
             F.min("first_event").alias("session_start"),
             F.max("last_event").alias("session_end"),
         )
@@ -198,7 +220,7 @@ def _blocks(slices: DataFrame, gap: int) -> DataFrame:
     block = start - F.pmod(start, F.lit(max(gap, 1) * SLICES_PER_BLOCK).cast("long"))
     already_open = F.col("session_number") - F.col("opens_session")
     return slices.groupBy("user_id", block.alias("_block")).agg(
-        F.sum("track_count").alias("track_count"),
+        _events_in().alias("track_count"),
         F.min_by("previous_event", "slice_start").alias("previous_event"),
         F.min(already_open).alias("sessions_before"),
     )

@@ -223,6 +223,25 @@ def test_small_gaps_sort_a_user_in_blocks(spark):
     assert "block#" in beneath
 
 
+@pytest.mark.parametrize("gap_minutes", [0, 1 / 60])
+def test_small_gaps_read_the_events_once(spark, tmp_path, gap_minutes):
+    """Every level of blocks starts from the shuffle of the one below."""
+    seconds = F.timestamp_micros(F.col("id") * 700_000)
+    spark.range(5_000).select((F.col("id") % 3).alias("user_id"), seconds.alias("started_at")).write.parquet(
+        str(tmp_path / "events")
+    )
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows reuse only after it has run
+    try:
+        result = summarize_events(spark.read.parquet(str(tmp_path / "events")), gap_minutes)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("FileScan") == 1
+    assert plan.count("ReusedExchange") >= 1
+    assert result.agg(F.sum("track_count")).first()[0] == 5_000
+
+
 def test_sessions_of_a_user_are_more_than_a_gap_apart(spark):
     from pyspark.sql import Window
 
