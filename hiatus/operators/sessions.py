@@ -173,6 +173,8 @@ def sessionize(
     tie_break: Sequence[str] = (),
     *,
     block_rows: int = BLOCK_ROWS,
+    within: DataFrame | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Event rows with pause, session flag, previous event time, session number and id.
 
@@ -187,15 +189,22 @@ def sessionize(
     takes more than one quantile is a cell of its own, whose rows are dealt over parts:
     what comes first there is known beforehand, so the others need no order. Only exact
     copies of the first row of such an instant stay together.
+
+    ``within`` is a table of sessions of the same events and gap, or a part of it: only
+    the blocks that these sessions touch are shuffled, numbered and returned, with the
+    numbers they have among all events. ``few`` says that its rows may be broadcast.
     """
     gap = gap_to_micros(gap_minutes)
     timed = events.filter(F.col("started_at").isNotNull()).withColumn("_block", _block_of(gap))
     slices = session_slices(events, gap_minutes)
     blocks = _blocks(slices, gap)
     crowded = F.col("track_count") > block_rows
+    cut, rows = blocks.filter(crowded), timed
+    if within is not None:
+        cut, rows = (_touched(frame, within, gap, few) for frame in (cut, timed))
     first = [*tie_break, F.xxhash64(*_hashable(events))]
-    cells = _cells(timed, blocks.filter(crowded), slices, gap, first)
-    numbered = _number_rows(_placed(timed, cells, first), blocks.filter(~crowded), gap, tie_break)
+    cells = _cells(timed, cut, slices, gap, first)
+    numbered = _number_rows(_placed(rows, cells, first), blocks.filter(~crowded), gap, tie_break)
     return numbered.select(
         *events.columns,
         _pause_seconds().alias("gap_seconds"),
@@ -226,6 +235,24 @@ def _blocks(slices: DataFrame, gap: int) -> DataFrame:
     )
 
 
+def _touched(placed: DataFrame, sessions: DataFrame, gap: int, few: bool) -> DataFrame:
+    """Rows of the (user, block) places that at least one of the sessions touches.
+
+    Few sessions are broadcast with their first and last block; many are spread
+    over their blocks, at most one for every 512 of a session's events and two more.
+    """
+    width = max(gap, 1) * SLICES_PER_BLOCK
+    first, last = (slice_start(F.col(name), width) for name in ("session_start", "session_end"))
+    if few:
+        spans = F.broadcast(sessions.select("user_id", first.alias("_first"), last.alias("_last")))
+        inside = F.col("placed._block").between(F.col("spans._first"), F.col("spans._last"))
+        user = F.col("placed.user_id").eqNullSafe(F.col("spans.user_id"))
+        return placed.alias("placed").join(spans.alias("spans"), user & inside, "left_semi")
+    blocks = F.sequence(first, last, F.lit(width).cast("long"))
+    spans = sessions.select("user_id", F.explode(blocks).alias("_block")).distinct()
+    return placed.alias("placed").join(spans.alias("spans"), _same("placed", "spans"), "left_semi")
+
+
 def _cells(timed: DataFrame, crowded: DataFrame, slices: DataFrame, gap: int, first: list) -> DataFrame:
     """For each crowded block its cells: where they begin (in microseconds) and what precedes them.
 

@@ -24,11 +24,14 @@ def top_songs_in_top_sessions(
     sessions: DataFrame | None = None,
     session_count: int = 50,
     song_count: int = 10,
+    *,
+    gap_minutes: float | None = None,
 ) -> DataFrame:
     """Most played songs inside the sessions with the most tracks.
 
-    Rows that already carry a session id are matched on it; plain events are
-    matched by user and time and need the session table.
+    Rows that already carry a session id are matched on it; plain events need the
+    session table and are matched by user and time. Given the gap of that table they are
+    numbered and matched on session id, which numbers only the blocks of chosen sessions.
     """
     if "session_id" in events.columns:
         table = summarize_sessionized(events) if sessions is None else sessions
@@ -36,6 +39,11 @@ def top_songs_in_top_sessions(
         plays = ranking.plays_by_session_id(events, chosen, session_count)
     elif sessions is None:
         raise ValueError("events without a session_id column need the sessions table")
+    elif gap_minutes is not None:
+        chosen = ranking.top_sessions(sessions, session_count)
+        few = session_count <= ranking.BROADCAST_SESSIONS
+        rows = sessionize(events, gap_minutes, within=chosen, few=few)
+        plays = ranking.plays_by_session_id(rows, chosen, session_count)
     else:
         chosen = ranking.top_sessions(sessions, session_count)
         plays = ranking.plays_by_interval(events, chosen, session_count)

@@ -441,6 +441,7 @@ ORACLES: dict[str, str] = {
     ),
     "session_summary_unnumbered": sql(PLAY_SESSIONS, f"SELECT {SESSION} FROM sessions"),
     "top_songs_session_join_many": sql(PLAY_SESSIONS, top_songs(MANY_SESSIONS)),
+    "top_songs_pruned_join_many": sql(PLAY_SESSIONS, top_songs(MANY_SESSIONS)),
     "top_songs_from_rows": sql(PLAY_SESSIONS, top_songs(50)),
     "top_sessions_from_rows": sql(PLAY_SESSIONS, top_sessions(50)),
     "top_users_from_rows": sql(PLAY_SESSIONS, top_users(10)),
@@ -470,6 +471,7 @@ ORACLES: dict[str, str] = {
     ),
     "top_songs_interval_join": sql(PLAY_SESSIONS, top_songs(50)),
     "top_songs_session_join": sql(PLAY_SESSIONS, top_songs(50)),
+    "top_songs_pruned_join": sql(PLAY_SESSIONS, top_songs(50)),
     "top_songs_many_sessions": sql(PLAY_SESSIONS, top_songs(MANY_SESSIONS)),
     "top_songs_ranked": sql(
         PLAY_SESSIONS,

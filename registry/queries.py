@@ -261,6 +261,20 @@ def top_songs_session_join_many(spark, sf_dir):
     )
 
 
+@query
+def top_songs_pruned_join(spark, sf_dir):
+    """Only blocks of the chosen sessions are numbered."""
+    events = fixtures.plays(spark, sf_dir)
+    return top_songs_in_top_sessions(events, _play_sessions(spark, sf_dir), gap_minutes=PLAY_GAP)
+
+
+@query
+def top_songs_pruned_join_many(spark, sf_dir):
+    return top_songs_in_top_sessions(
+        fixtures.plays(spark, sf_dir), _play_sessions(spark, sf_dir), MANY_SESSIONS, gap_minutes=PLAY_GAP
+    )
+
+
 @query
 def top_songs_from_rows(spark, sf_dir):
     return top_songs_in_top_sessions(_play_rows(spark, sf_dir))

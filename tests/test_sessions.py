@@ -305,3 +305,33 @@ def test_rows_are_read_once_when_no_block_is_crowded(spark, tmp_path):
 
     assert scans() == 2
     assert scans(block_rows=10) > 2
+
+
+@pytest.mark.parametrize("few, block_rows", [(True, 5_000_000), (False, 5_000_000), (True, 3)])
+def test_rows_within_chosen_sessions_keep_their_numbers(spark, few, block_rows):
+    """Only blocks that a chosen session touches are numbered, as they are among all rows."""
+    draw = random.Random(5)
+    rows = []
+    for user in ("u", "v", None):
+        moment = datetime(1969, 12, 31, 23, tzinfo=timezone.utc)
+        for _ in range(150):
+            moment += timedelta(seconds=draw.choice([0, 0.4, 1, 1, 1.5, 90, 4_000]))
+            rows.append((len(rows), user, moment))
+    frame = spark.createDataFrame(rows, "event_id long, user_id string, started_at timestamp").repartition(4)
+    gap = 1 / 60
+    sessions = summarize_events(frame, gap)
+    chosen = sessions.where("track_count > 1 and session_number % 3 = 0 or session_number = 1")
+    names = ["event_id", "session_number", "is_new_session", "previous_started_at"]
+    everything = {r[0]: tuple(r) for r in sessionize(frame, gap, ["event_id"]).select(names).collect()}
+    pruned = sessionize(frame, gap, ["event_id"], within=chosen, few=few, block_rows=block_rows)
+    found = {r[0]: tuple(r) for r in pruned.select(names).collect()}
+    block = 512
+    touched = {
+        (r.user_id, at)
+        for r in chosen.select("user_id", F.col("session_start").cast("long").alias("a"), F.col("session_end").cast("long").alias("b")).collect()
+        for at in range(r.a // block, r.b // block + 1)
+    }
+    expected = {i for i, user, moment in rows if (user, int(moment.timestamp() // 1) // block) in touched}
+    assert set(found) == expected and len(expected) < len(rows)
+    assert all(found[i] == everything[i] for i in expected)
+    assert pruned.columns == sessionize(frame, gap).columns
