@@ -20,7 +20,7 @@ level starts from the shuffle of the one below, which Spark reuses.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -35,7 +35,8 @@ SLICES_PER_BLOCK = 512
 # Slices or blocks at least this wide are numbered per user: 262,980 a year at most.
 USER_WINDOW_MICROS = 120_000_000
 # Blocks with more rows are cut into cells, at this many quantiles of their times. Such
-# blocks, and with them the broadcast list of cells, are at most total / BLOCK_ROWS.
+# blocks, and with them the broadcast list of cells, are at most total / BLOCK_ROWS. With
+# fewer rows asked for, there may be as many as rows, and the list is joined by shuffle.
 BLOCK_ROWS = 5_000_000
 CUTS = 64
 
@@ -203,8 +204,9 @@ def sessionize(
     if within is not None:
         cut, rows = (_touched(frame, within, gap, few) for frame in (cut, timed))
     first = [*tie_break, F.xxhash64(*_hashable(events))]
-    cells = _cells(timed, cut, slices, gap, first)
-    numbered = _number_rows(_placed(rows, cells, first), blocks.filter(~crowded), gap, tie_break)
+    cells = _cells(timed, cut, slices, gap, first, block_rows)
+    placed = _placed(rows, cells, first, block_rows)
+    numbered = _number_rows(placed, blocks.filter(~crowded), gap, tie_break)
     return numbered.select(
         *events.columns,
         _pause_seconds().alias("gap_seconds"),
@@ -253,40 +255,64 @@ def _touched(placed: DataFrame, sessions: DataFrame, gap: int, few: bool) -> Dat
     return placed.alias("placed").join(spans.alias("spans"), _same("placed", "spans"), "left_semi")
 
 
-def _cells(timed: DataFrame, crowded: DataFrame, slices: DataFrame, gap: int, first: list) -> DataFrame:
+def _per_block(frame: DataFrame, block_rows: int) -> DataFrame:
+    """A row for each crowded block, to be joined to events: broadcast if they are few for sure."""
+    return F.broadcast(frame) if block_rows >= BLOCK_ROWS else frame
+
+
+def _begun(rows: DataFrame, start_of: Callable[[Column], Column]) -> DataFrame:
+    """Adds how many of a block's cells, in order of time, have begun at a row's time; found by halving."""
+    found = F.col("_begun")
+    rows = rows.withColumn("_begun", F.lit(0))
+    for power in reversed(range(CUTS.bit_length())):
+        further = found + (1 << power)
+        reached = start_of(further - 1) <= F.unix_micros("started_at")
+        rows = rows.withColumn("_begun", F.when(reached, further).otherwise(found))
+    return rows
+
+
+def _cells(
+    timed: DataFrame, crowded: DataFrame, slices: DataFrame, gap: int, first: list, block_rows: int
+) -> DataFrame:
     """For each crowded block its cells: where they begin (in microseconds) and what precedes them.
 
     ``parts`` is 0 but for a cell that is a single crowded instant, of which ``leader`` is
     the least row. No row is read when no block is crowded.
     """
-    micros = F.unix_micros("started_at")
     shares = [(k + 1) / CUTS for k in range(CUTS - 1)]
     quantiles = F.percentile_approx(F.unix_micros("rows.started_at"), shares, 10_000)
-    rows = timed.alias("rows").join(F.broadcast(crowded.alias("blocks")), _same("rows", "blocks"))
+    rows = timed.alias("rows").join(_per_block(crowded, block_rows).alias("blocks"), _same("rows", "blocks"))
     cuts = rows.groupBy("rows.user_id", "rows._block").agg(
         quantiles.alias("_quantiles"), F.max("blocks.previous_event").alias("_previous")
     )
-    repeated = F.filter("_quantiles", lambda q: F.size(F.filter("_quantiles", lambda other: other == q)) > 1)
+    # Quantiles ascend, so equal ones are neighbours.
+    again = F.filter("_quantiles", lambda q, k: q == F.get("_quantiles", k - 1))
     cuts = cuts.select(
         "user_id",
         "_block",
         "_previous",
-        repeated.alias("_crowd"),
-        F.array_sort(F.array_distinct(F.concat("_quantiles", F.transform(repeated, lambda q: q + 1)))).alias("_cuts"),
+        "_quantiles",
+        F.sort_array(F.array_distinct(F.concat("_quantiles", F.transform(again, lambda q: q + 1)))).alias("_cuts"),
+    )
+    joined = timed.alias("rows").join(_per_block(cuts, block_rows).alias("cuts"), _same("rows", "cuts"))
+    begun = _begun(
+        joined.select("rows.*", "cuts._previous", "cuts._quantiles", "cuts._cuts"), lambda k: F.get("_cuts", k)
     )
-    own = F.coalesce(F.try_element_at(F.filter("_cuts", lambda c: c <= micros), F.lit(-1)), F.col("rows._block"))
-    parts = F.size(F.filter("_crowd", lambda q: q == own))
+    own = F.coalesce(F.get("_cuts", F.col("_begun") - 1), "_block")
+    # How many quantiles are the instant at which the cell begins: from the first of them to the last.
+    last = F.size("_quantiles") + 1 - F.array_position(F.reverse("_quantiles"), F.col("_cell"))
+    taken = last - F.array_position("_quantiles", F.col("_cell")) + 1
+    parts = F.when(F.array_contains("_quantiles", F.col("_cell")) & (taken > 1), taken).otherwise(0)
     counted = (
-        timed.alias("rows")
-        .join(F.broadcast(cuts.alias("cuts")), _same("rows", "cuts"))
-        .select("rows.*", "cuts._previous", own.alias("cell"), parts.alias("parts"))
-        .groupBy("user_id", "_block", "cell")
+        begun.withColumn("_cell", own)
+        .withColumn("_parts", parts)
+        .groupBy("user_id", "_block", F.col("_cell").alias("cell"))
         .agg(
             F.min("started_at").alias("first_event"),
             F.max("started_at").alias("last_event"),
-            F.max("parts").alias("parts"),
+            F.max("_parts").alias("parts"),
             F.max("_previous").alias("block_previous"),
-            F.min(F.when(F.col("parts") > 0, F.struct(*first))).alias("leader"),
+            F.min(F.when(F.col("_parts") > 0, F.struct(*first))).alias("leader"),
         )
     )
     in_block = Window.partitionBy("user_id", "_block").orderBy("cell")
@@ -319,21 +345,17 @@ def _cells(timed: DataFrame, crowded: DataFrame, slices: DataFrame, gap: int, fi
     )
 
 
-def _placed(timed: DataFrame, cells: DataFrame, first: list) -> DataFrame:
+def _placed(timed: DataFrame, cells: DataFrame, first: list, block_rows: int) -> DataFrame:
     """Rows with the cell and the part they are numbered in, and what precedes it.
 
     Outside of crowded blocks these are null. In the first part of a crowded instant
     are the copies of its first row, after which the instant has begun in all others.
     """
-    micros = F.unix_micros("started_at")
-    own = F.try_element_at(F.filter("_cells", lambda c: c["cell"] <= micros), F.lit(-1))
     dealt = F.pmod(F.monotonically_increasing_id(), F.col("_own.parts")) + 1
     begun = (F.col("_own.parts") > 0) & (F.struct(*first) != F.col("_own.leader"))
-    placed = (
-        timed.alias("rows")
-        .join(F.broadcast(cells.alias("cells")), _same("rows", "cells"), "left")
-        .select("rows.*", own.alias("_own"))
-    )
+    joined = timed.alias("rows").join(_per_block(cells, block_rows).alias("cells"), _same("rows", "cells"), "left")
+    placed = _begun(joined.select("rows.*", "_cells"), lambda k: F.get("_cells", k)["cell"])
+    placed = placed.withColumn("_own", F.get("_cells", F.col("_begun") - 1))
     return placed.select(
         *timed.columns,
         F.col("_own.cell").alias("_cell"),
@@ -397,8 +419,9 @@ def _pause_seconds() -> Column:
 
 
 def _same(left: str, right: str) -> Column:
+    """Null-safe in both columns: no filter is derived, and joins of the same rows share a shuffle."""
     return F.col(f"{left}.user_id").eqNullSafe(F.col(f"{right}.user_id")) & (
-        F.col(f"{left}._block") == F.col(f"{right}._block")
+        F.col(f"{left}._block").eqNullSafe(F.col(f"{right}._block"))
     )
 
 

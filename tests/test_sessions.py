@@ -290,6 +290,23 @@ def test_crowded_instants_are_dealt_over_parts(spark):
     assert "_part#" in plan and plan.count("Window [sum(") <= 3
 
 
+def test_lists_of_many_crowded_blocks_are_not_broadcast(spark):
+    """Small blocks may be as many as rows; what is told to them is joined by shuffle."""
+    rows, frame = random_events(spark, 7)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = sessionize(frame, 20, ["event_id"], block_rows=0)
+        plain = result.withColumn("previous", F.col("previous_started_at").cast("timestamp_ntz"))
+        found = {r.event_id: (r.previous, r.is_new_session, r.session_number) for r in plain.collect()}
+        plan = plain._jdf.queryExecution().executedPlan().toString()
+        few = sessionize(frame, 20, ["event_id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found == brute_force(rows, 1200)
+    assert "Broadcast" not in plan and "BroadcastHashJoin" in few
+
+
 def test_rows_are_read_once_when_no_block_is_crowded(spark, tmp_path):
     """The cells' branch is dropped: rows are read for the slices and to be numbered."""
     _, frame = random_events(spark, 6)
